@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerloom.operators.drift import consistent_cells, drift_report
 from ledgerloom.operators.snapshots import snapshot_changes
 from ledgerloom.session import table
 
@@ -10,7 +11,15 @@ def p6_found(spark, sf):
     return snapshot_changes(table(spark, sf, "holding_snapshots"))
 
 
-QUERIES = {"p6_found": p6_found}
+def p7_found(spark, sf):
+    return drift_report(table(spark, sf, "raw_files"), table(spark, sf, "raw_records"))
+
+
+def p7_cells(spark, sf):
+    return consistent_cells(table(spark, sf, "raw_files"), table(spark, sf, "raw_records"))
+
+
+QUERIES = {"p6_found": p6_found, "p7_found": p7_found, "p7_cells": p7_cells}
 
 SQL = {
     "p6_found": r"""
