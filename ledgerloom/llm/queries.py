@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import components, survivors
+from ledgerloom.llm import components, leakage, survivors
 from ledgerloom.session import table
 
 
@@ -18,7 +18,11 @@ def p5_found(spark, sf):
     return components.search_result_groups(table(spark, sf, "contact_results"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
+def p9_found(spark, sf):
+    return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+QUERIES = {"p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
 
 _ACCOUNTS = r"""
 WITH a AS (
