@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.registers import fy_start
+from ledgerloom.session import checkpointed
 
 #: Texts that stand for an empty cell (fixed values).
 FILLERS = ("", "-", "--", "na", "n/a", "n.a.", "nil", "none", "null", "unknown", "not available")
@@ -91,9 +92,10 @@ def column_links(files: DataFrame, records: DataFrame) -> tuple[DataFrame, DataF
 
     Returns (pairs, cells, columns, links); links has (file_id, before_id, old, new) by header key.
     """
-    pairs = file_pairs(files)
+    pairs = checkpointed(file_pairs(files))
     c = cells(records).withColumns({"key": header_key(F.col("header")), "div": dividend_year(F.col("header"))})
-    c = c.withColumns({"canon": canonical(F.col("text")), "shape": shape(F.col("text"))})
+    # Read many times below: cells, columns and open pairs are written once to the shared folder.
+    c = checkpointed(c.withColumns({"canon": canonical(F.col("text")), "shape": shape(F.col("text"))}))
     n = lambda k: F.count(F.when(F.col("kind") == k, 1))
     columns = (
         c.groupBy("file_id", "key")
@@ -103,6 +105,7 @@ def column_links(files: DataFrame, records: DataFrame) -> tuple[DataFrame, DataF
                     .when((F.col("n_number") >= F.col("n_string")) & (F.col("n_number") >= F.col("n_boolean")), "number")
                     .when(F.col("n_string") >= F.col("n_boolean"), "string").otherwise("boolean"))
     )
+    columns = checkpointed(columns)
     two = pairs.where("before_id is not null").select("file_id", "before_id")
     side = lambda df, s, *keep: df.select(F.col("file_id").alias("before_id" if s == "o" else "file_id"), *[F.col(k).alias(f"{s}_{k}") for k in keep])
     meta = ("key", "div", "n_canon", "n_values")
@@ -115,6 +118,7 @@ def column_links(files: DataFrame, records: DataFrame) -> tuple[DataFrame, DataF
         .join(same_header.select("file_id", F.col("new").alias("n_key")), ["file_id", "n_key"], "left_anti")
         .where("o_div <=> n_div")
     )
+    left = checkpointed(left)
     # Rows aligned on unique values under equal headers: one vote per column, the row with most votes wins.
     lone = c.where("canon is not null and length(canon) >= 4").groupBy("file_id", "key", "canon").agg(F.min("row_no").alias("row"), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
     votes = (
@@ -169,7 +173,7 @@ def column_links(files: DataFrame, records: DataFrame) -> tuple[DataFrame, DataF
     rank = lambda by, other: F.row_number().over(Window.partitionBy("file_id", by).orderBy(F.desc("score"), other))
     renamed = s.withColumns({"r1": rank("o_key", "n_key"), "r2": rank("n_key", "o_key")}).where("r1 = 1 and r2 = 1")
     links = same_header.unionByName(renamed.select("file_id", "before_id", F.col("o_key").alias("old"), F.col("n_key").alias("new")))
-    return pairs, c, columns, links
+    return pairs, c, columns, checkpointed(links)
 
 
 def drift_report(files: DataFrame, records: DataFrame) -> DataFrame:
@@ -209,8 +213,6 @@ def consistent_cells(files: DataFrame, records: DataFrame) -> DataFrame:
     up = links.select(F.col("file_id").alias("f"), F.col("new").alias("k"), F.col("before_id").alias("pf"), F.col("old").alias("pk"))
     at = columns.select(F.col("file_id").alias("f"), F.col("key").alias("k")).join(up, ["f", "k"], "left")
     at = at.select("f", "k", F.coalesce("pf", "f").alias("pf"), F.when(F.col("pf").isNull(), F.col("k")).otherwise(F.col("pk")).alias("pk"))
-    from ledgerloom.session import checkpointed
-
     for _ in range(8):
         at = checkpointed(at)
         far = at.select(F.col("f").alias("pf"), F.col("k").alias("pk"), F.col("pf").alias("qf"), F.col("pk").alias("qk"))
