@@ -36,15 +36,19 @@ def piece_length(passage: str, squeezed: str) -> int:
     return max(3, min(round(stretch / (BUDGET + 1)), max(1, len(squeezed) // (BUDGET + 1))))
 
 
-def myers(pattern: str, text: str, most: int) -> tuple[int, int]:
-    """Least edit distance of pattern to any substring of text, and where it ends; (most + 1, -1) if above most.
-
-    Myers' bit-parallel algorithm in its searching form; integers are as wide as the pattern.
-    """
-    m = len(pattern)
+def masks(pattern: str) -> dict[str, int]:
+    """Where each character stands in the pattern, as bits."""
     peq: dict[str, int] = {}
     for i, ch in enumerate(pattern):
         peq[ch] = peq.get(ch, 0) | 1 << i
+    return peq
+
+
+def myers(m: int, peq: dict[str, int], text: str, most: int) -> tuple[int, int]:
+    """Least edit distance of a pattern of length m to any substring of text, and where it ends; (most + 1, -1) if above most.
+
+    Myers' bit-parallel algorithm in its searching form; integers are as wide as the pattern.
+    """
     full, top = (1 << m) - 1, 1 << (m - 1)
     pv, mv, score, best, end = full, 0, m, most + 1, -1
     for j, ch in enumerate(text):
@@ -71,7 +75,7 @@ class Passages:
     def __init__(self, items: list[tuple[int, str]]):
         import ahocorasick
 
-        self.items, self.auto, at = [], ahocorasick.Automaton(), {}
+        self.items, self.windows, self.auto, at = [], [], ahocorasick.Automaton(), {}
         for item, passage in items:
             s = squeeze(passage)
             if not s:
@@ -82,12 +86,21 @@ class Passages:
             self.items.append((item, s, q, n))
             for j in range(n):
                 at.setdefault(s[j * q : (j + 1) * q], []).append((k, j))
+            self.windows.append([self._window(s, q, w) for w in range(max(1, n - BUDGET))])
         for piece, where in at.items():
             self.auto.add_word(piece, where)
         self.empty = not at
         if at:
             self.auto.make_automaton()
 
+    @staticmethod
+    def _window(s: str, q: int, w: int) -> tuple[int, int, list[str], dict[str, int]]:
+        """A window's place, the halves of its pieces and its pattern masks for Myers' algorithm."""
+        a, b = w * q, min(len(s), (w + BUDGET + 1) * q)
+        h = max(1, q // 2)
+        halves = [s[i : min(i + h, b)] for i in range(a, b - h + 1, h)][: 2 * (BUDGET + 1)]
+        return a, b, halves, masks(s[a:b])
+
     def found(self, text: str) -> list[int]:
         """Items of which the text repeats enough."""
         if self.empty:
@@ -107,29 +120,42 @@ class Passages:
     def covered(self, k: int, by: dict[int, list[int]], t: str) -> float:
         """Share of the passage in verified windows, lengthened at their ends as far as the texts agree."""
         _, s, q, n = self.items[k]
-        width = BUDGET + 1
-        size = len(s)
+        size, size_t = len(s), len(t)
         mask = bytearray(size)
         tried: set[tuple[int, int]] = set()
         slack = BUDGET + 1
+        windows = self.windows[k]
         for j, ends in by.items():
             for end in ends:
-                start = end - q + 1
-                for w in range(max(0, j - width + 1), min(j, max(0, n - width)) + 1):
-                    a, b = w * q, min(size, (w + width) * q)
-                    place = start - (j * q - a)
-                    key = (w, place // (slack + 1))
-                    if key in tried or all(mask[a:b]):
+                zero = end - q + 1 - j * q  # where the passage would begin
+                near = zero // (slack + 1)
+                for w in range(max(0, j - BUDGET), min(j, len(windows) - 1) + 1):
+                    if (w, near) in tried:
+                        continue
+                    tried.add((w, near))
+                    a, b, halves, peq = windows[w]
+                    place = zero + a
+                    lo = place - slack if place > slack else 0
+                    region = t[lo : place + b - a + slack]
+                    # The pigeonhole again: each edit spoils one half piece at most.
+                    missing = 0
+                    for h in halves:
+                        if h not in region:
+                            missing += 1
+                            if missing > BUDGET:
+                                break
+                    if missing > BUDGET:
                         continue
-                    tried.add(key)
-                    lo, hi = max(0, place - slack), place + (b - a) + slack
-                    dist, last = (0, place - lo + b - a - 1) if t[max(0, place) : place + b - a] == s[a:b] else myers(s[a:b], t[lo:hi], BUDGET)
+                    if place >= 0 and t[place : place + b - a] == s[a:b]:
+                        dist, last = 0, place - lo + b - a - 1
+                    else:
+                        dist, last = myers(b - a, peq, region, BUDGET)
                     if dist > BUDGET:
                         continue
                     mask[a:b] = b"\1" * (b - a)
                     # Lengthen to the right from the found end, to the left from the expected start.
                     x, y = b, lo + last + 1
-                    while x < size and y < len(t) and s[x] == t[y]:
+                    while x < size and y < size_t and s[x] == t[y]:
                         mask[x] = 1
                         x, y = x + 1, y + 1
                     x, y = a - 1, place - 1
