@@ -94,12 +94,14 @@ class Passages:
             self.auto.make_automaton()
 
     @staticmethod
-    def _window(s: str, q: int, w: int) -> tuple[int, int, list[str], dict[str, int]]:
+    def _window(s: str, q: int, w: int) -> tuple[int, int, list[list[str]], dict[str, int]]:
         """A window's place, the halves of its pieces and its pattern masks for Myers' algorithm."""
         a, b = w * q, min(len(s), (w + BUDGET + 1) * q)
         h = max(1, q // 2)
-        halves = [s[i : min(i + h, b)] for i in range(a, b - h + 1, h)][: 2 * (BUDGET + 1)]
-        return a, b, halves, masks(s[a:b])
+        pairs = [(s[i : i + h], s[i + q - h : i + q]) for i in range(a, b - q + 1, q)]
+        # For a hit of each piece, the halves of the others.
+        others = [[x for e, p in enumerate(pairs) if e != d for x in p] for d in range(BUDGET + 1)]
+        return a, b, others, masks(s[a:b])
 
     def found(self, text: str) -> list[int]:
         """Items of which the text repeats enough."""
@@ -122,24 +124,24 @@ class Passages:
         _, s, q, n = self.items[k]
         size, size_t = len(s), len(t)
         mask = bytearray(size)
-        tried: set[tuple[int, int]] = set()
+        tried: set[int] = set()
         slack = BUDGET + 1
         windows = self.windows[k]
         for j, ends in by.items():
             for end in ends:
                 zero = end - q + 1 - j * q  # where the passage would begin
-                near = zero // (slack + 1)
+                near = (zero // (slack + 1)) * (n + 1)
                 for w in range(max(0, j - BUDGET), min(j, len(windows) - 1) + 1):
-                    if (w, near) in tried:
+                    if near + w in tried:
                         continue
-                    tried.add((w, near))
-                    a, b, halves, peq = windows[w]
+                    tried.add(near + w)
+                    a, b, others, peq = windows[w]
                     place = zero + a
                     lo = place - slack if place > slack else 0
                     region = t[lo : place + b - a + slack]
                     # The pigeonhole again: each edit spoils one half piece at most.
                     missing = 0
-                    for h in halves:
+                    for h in others[j - w]:
                         if h not in region:
                             missing += 1
                             if missing > BUDGET:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import components, leakage, survivors
+from ledgerloom.llm import addresses, components, leakage, sentences, survivors
 from ledgerloom.session import table
 
 
@@ -22,7 +22,15 @@ def p9_found(spark, sf):
     return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {"p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
+def p3_found(spark, sf):
+    return addresses.same_addresses(table(spark, sf, "shareholders"), table(spark, sf, "inhouse_contacts"))
+
+
+def p10_found(spark, sf):
+    return sentences.sentence_units(table(spark, sf, "documents"))
+
+
+QUERIES = {"p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
 
 _ACCOUNTS = r"""
 WITH a AS (
