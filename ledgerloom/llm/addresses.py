@@ -52,7 +52,7 @@ def parse(address: str | None) -> tuple[str, str, str, str, str, str, str] | Non
     """
     if address is None or FILLER.fullmatch(address):
         return None
-    t = _TOKEN.findall(address.lower())
+    t = _TOKEN.findall(" ".join(address.lower().split()))
     unit = number = building = street = kind = pin = ""
     rest: list[str] = []
     i, n = 0, len(t)
@@ -122,56 +122,50 @@ FIELDS = ("unit", "number", "building", "street", "kind", "pin", "rest")
 
 
 def parsed(df: DataFrame, address: str = "address", keep: tuple[str, ...] = ("id",), extra: tuple[str, ...] = ()) -> DataFrame:
-    """keep columns, the components and aid, a number that is the same for the same components.
+    """keep columns, aid (a number that is the same for the same components) and parts (the components between bars).
 
     extra names further text columns (city, postcode) whose words count as part of the address.
     Rows without a readable address are left out.
     """
     src = df.select(*keep, F.col(address).cast("string").alias("__a"), F.concat_ws(" ", *[F.col(x) for x in extra]).alias("__x"))
     src = src.where("__a is not null")
-    schema = src.select(*keep).schema.add("aid", "long")
-    for f in FIELDS:
-        schema = schema.add(f, "string")
+    schema = src.select(*keep).schema.add("aid", "long").add("parts", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
 
-        memo: dict[str, tuple | None] = {}
         for b in batches:
             n = b.num_columns
-            rows, cols, aids = [], [[] for _ in FIELDS], []
+            rows, aids, parts = [], [], []
             for k, (a, x) in enumerate(zip(b.column(n - 2).to_pylist(), b.column(n - 1).to_pylist())):
-                key = a + "\n" + x
-                p = memo.get(key, 0)
-                if p == 0:
-                    p = parse(a)
-                    if p is not None and x:
-                        pin = p[5]
-                        words = set(p[6].split())
-                        for w in _TOKEN.findall(x.lower()):
-                            if w[0].isdigit():
-                                pin = pin or (w.replace(" ", "") if _PIN.fullmatch(w) else "")
-                            elif len(w) > 2:
-                                words.add(fold(w))
-                        p = (*p[:5], pin, " ".join(sorted(words)))
-                    if len(memo) > 50_000:
-                        memo.clear()
-                    memo[key] = p
+                p = parse(a)
                 if p is None or not (p[3] or p[2]):
                     continue
+                if x:
+                    pin = p[5]
+                    words = set(p[6].split())
+                    for w in _TOKEN.findall(x.lower()):
+                        if w[0].isdigit():
+                            pin = pin or (w.replace(" ", "") if _PIN.fullmatch(w) else "")
+                        elif len(w) > 2:
+                            words.add(fold(w))
+                    p = (*p[:5], pin, " ".join(sorted(words)))
+                packed = "|".join(p)
                 rows.append(k)
-                aids.append(int.from_bytes(blake2b("|".join(p).encode(), digest_size=8).digest(), "big", signed=True))
-                for c, v in zip(cols, p):
-                    c.append(v)
+                aids.append(int.from_bytes(blake2b(packed.encode(), digest_size=8).digest(), "big", signed=True))
+                parts.append(packed)
             kept = b.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*(kept.column(j) for j in range(n - 2)), pa.array(aids, pa.int64()), *(pa.array(c, pa.string()) for c in cols)],
-                [*(b.schema.names[: n - 2]), "aid", *FIELDS],
+                [*(kept.column(j) for j in range(n - 2)), pa.array(aids, pa.int64()), pa.array(parts, pa.string())], [*(b.schema.names[: n - 2]), "aid", "parts"]
             )
 
     return src.mapInArrow(run, schema)
 
 
+def part(name: str) -> Column:
+    return F.element_at(F.split("parts", r"\|"), FIELDS.index(name) + 1)
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether two words are within so many insertions, deletions, replacements or swaps of neighbours."""
     if a == b:
@@ -266,49 +260,56 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
     """(l_aid, r_aid): parsed addresses of both sides that denote the same house or flat.
 
     Works on distinct components, so that a thousand copies of an address cost one comparison.
-    Blocks are postcodes; an address without a postcode, or with one unusual for its place, is put
-    into the blocks of the postcodes its street, locality and city stand with elsewhere. Within a
+    Blocks are postcodes. An address without a postcode, or with one that is unusual where it
+    stands, is put into the blocks that its street has elsewhere together with one of its
+    localities; if the street is not known there, into all blocks of its localities, at last of its street. Within a
     block, streets are found in a deletion-neighbourhood index over the distinct (block, street)
     pairs, and addresses are joined on block, street and unit (or, for houses, number), so that
     even a street with a third of all addresses is split by unit and number. Pairs are decided by
     same_place.
     """
-    l = left.select("aid", *FIELDS).dropDuplicates(["aid"])
-    r = right.select("aid", *FIELDS).dropDuplicates(["aid"])
-    both = checkpointed(l.withColumn("side", F.lit("l")).unionByName(r.withColumn("side", F.lit("r"))))
-    words = F.filter(F.concat(F.split("rest", " "), F.array(F.concat(F.lit("s:"), "street"))), lambda w: (w != "") & (w != "s:"))
-    seen = both.where("pin <> ''").select("aid", "pin", F.explode(words).alias("word")).dropDuplicates(["aid", "word"])
-    usual = seen.groupBy("word", "pin").agg(F.count(F.lit(1)).alias("n"))
-    usual = usual.withColumn("all", F.sum("n").over(Window.partitionBy("word"))).where("n >= 2 and n * 50 >= all")
-    # Words standing with few postcodes say where an address is; the word of a state does not.
-    usual = usual.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("k <= 12").select("word", "pin", "k")
-    placed = both.select("aid", "side", F.col("pin").alias("own"), F.explode(words).alias("word")).join(usual, "word")
-    placed = placed.groupBy("aid", "side", "own", "pin").agg(F.sum(1.0 / F.col("k")).alias("w"))
-    # An own postcode that fits its words needs no other block.
-    at = Window.partitionBy("aid", "side")
-    placed = placed.withColumns({"top": F.max("w").over(at), "fits": F.max((F.col("own") == F.col("pin")).cast("int")).over(at)})
-    placed = placed.where("fits = 0 and w >= top * 0.6").select("aid", "side", F.col("pin").alias("block"))
-    blocks = both.where("pin <> ''").select("aid", "side", F.col("pin").alias("block")).unionByName(placed)
-    key = F.when(F.col("unit") != "", F.col("unit")).otherwise(F.concat(F.lit("n"), "number"))
-    a = both.join(blocks, ["aid", "side"]).withColumn("key", key).where("unit <> '' or number <> ''")
-    a = checkpointed(a.withColumn("name", F.when(F.col("street") != "", F.col("street")).otherwise(F.concat(F.lit("b:"), "building"))))
-    s = a.select("side", "block", "name").distinct().withColumn("v", F.explode(deletions(F.col("name"))))
+    l = left.select("aid", "parts").dropDuplicates(["aid"]).withColumn("side", F.lit("l"))
+    r = right.select("aid", "parts").dropDuplicates(["aid"]).withColumn("side", F.lit("r"))
+    both = checkpointed(l.unionByName(r))
+    known = F.array(*[F.lit(w) for w in sorted(states)]) if states else F.array().cast("array<string>")
+    street = F.when(part("street") != "", part("street")).otherwise(F.concat(F.lit("b:"), part("building")))
+    unit, number = part("unit"), part("number")
+    key = F.when(unit != "", unit).otherwise(F.concat(F.lit("n"), number))
+    slim = both.select("aid", "side", part("pin").alias("own"), street.alias("name"), F.array_except(F.split(part("rest"), " "), known).alias("words"))
+    stands = slim.select("aid", "side", "own", "name", F.explode("words").alias("word")).where("word <> ''")
+
+    def usual(by: list[str], share: int) -> DataFrame:
+        """Postcodes that make up at least one part in share of the addresses with the same street or locality."""
+        g = stands.where("own <> ''").groupBy(*by, "own").agg(F.count(F.lit(1)).alias("n"))
+        g = g.withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
+        return g.where(F.col("n") * share >= F.col("all")).where("n >= 2 or all <= 2").select(*by, F.col("own").alias("block"))
+
+    by_street = stands.join(usual(["name", "word"], 20), ["name", "word"]).select("aid", "side", "own", "block").distinct()
+    settled = slim.where("own <> ''").join(by_street.where("own = block"), ["aid", "side"], "left_semi").select("aid", "side")
+    loose = stands.join(settled, ["aid", "side"], "left_anti")
+    placed = by_street.join(settled, ["aid", "side"], "left_anti").select("aid", "side", "block")
+    lost = loose.where("own = ''").join(placed, ["aid", "side"], "left_anti")
+    guessed = lost.join(usual(["word"], 100), "word").select("aid", "side", "block").distinct()
+    # Where even the locality is mistyped, the blocks of the street anywhere.
+    astray = slim.where("own = ''").join(placed.unionByName(guessed), ["aid", "side"], "left_anti")
+    guessed = guessed.unionByName(astray.join(usual(["name"], 400), "name").select("aid", "side", "block"))
+    blocks = slim.where("own <> ''").select("aid", "side", F.col("own").alias("block")).unionByName(placed).unionByName(guessed).distinct()
+    a = both.where((unit != "") | (number != "")).select("aid", "side", "parts", street.alias("name"), key.alias("key")).join(blocks, ["aid", "side"])
+    s = slim.select("aid", "side", "name").join(blocks, ["aid", "side"]).select("side", "block", "name").distinct()
+    s = s.withColumn("v", F.explode(deletions(F.col("name"))))
     sl = s.where("side = 'l'").select("block", "v", F.col("name").alias("l_name"))
     sr = s.where("side = 'r'").select("block", "v", F.col("name").alias("r_name"))
     near = sl.join(sr, ["block", "v"]).select("block", "l_name", "r_name").distinct().where("levenshtein(l_name, r_name) <= 2")
-    row = F.struct(*FIELDS)
-    al = a.where("side = 'l'").select("block", "key", F.col("name").alias("l_name"), F.col("aid").alias("l_aid"), row.alias("x"))
-    ar = a.where("side = 'r'").select("block", "key", F.col("name").alias("r_name"), F.col("aid").alias("r_aid"), row.alias("y"))
-    number_ok = (F.col("x.number") == "") | (F.col("y.number") == "") | (F.col("x.number") == F.col("y.number"))
-    pairs = al.join(near, ["block", "l_name"]).join(ar, ["block", "r_name", "key"]).where(number_ok)
+    al = a.where("side = 'l'").select("block", "key", F.col("name").alias("l_name"), F.col("aid").alias("l_aid"), F.col("parts").alias("x"))
+    ar = a.where("side = 'r'").select("block", "key", F.col("name").alias("r_name"), F.col("aid").alias("r_aid"), F.col("parts").alias("y"))
+    # The side of the contacts is the smaller: it takes the near streets of the other side first.
+    pairs = ar.join(near, ["block", "r_name"]).join(al, ["block", "l_name", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out_l, out_r = [], []
-            xs = list(zip(*(b.column(2).field(i).to_pylist() for i in range(len(FIELDS)))))
-            ys = list(zip(*(b.column(3).field(i).to_pylist() for i in range(len(FIELDS)))))
-            for i, j, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), xs, ys):
-                if same_place(x, y, states):
+            for i, j, x, y in zip(*(b.column(c).to_pylist() for c in range(4))):
+                if same_place(tuple(x.split("|")), tuple(y.split("|")), states):
                     out_l.append(i)
                     out_r.append(j)
             yield pa.RecordBatch.from_arrays([pa.array(out_l, pa.int64()), pa.array(out_r, pa.int64())], ["l_aid", "r_aid"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import addresses, components, leakage, sentences, survivors
+from ledgerloom.llm import addresses, components, holders, leakage, sentences, survivors
 from ledgerloom.session import table
 
 
@@ -30,7 +30,11 @@ def p10_found(spark, sf):
     return sentences.sentence_units(table(spark, sf, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
+def p2_found(spark, sf):
+    return holders.same_holders(table(spark, sf, "shareholders"), table(spark, sf, "inhouse_contacts"), table(spark, sf, "name_aliases"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
 
 _ACCOUNTS = r"""
 WITH a AS (
