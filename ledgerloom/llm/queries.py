@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import addresses, components, holders, leakage, sentences, survivors
+from ledgerloom.llm import addresses, components, crossmatch, holders, leakage, sentences, survivors
 from ledgerloom.session import table
 
 
@@ -34,7 +34,15 @@ def p2_found(spark, sf):
     return holders.same_holders(table(spark, sf, "shareholders"), table(spark, sf, "inhouse_contacts"), table(spark, sf, "name_aliases"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
+def p4_matches(spark, sf):
+    return crossmatch.quoted_holders(*[table(spark, sf, t) for t in ("shareholders_filtered", "contact_results", "inhouse_contacts", "name_aliases")])
+
+
+def p4_found(spark, sf):
+    return p4_matches(spark, sf).select("record_source", "record_key", "contact_id")
+
+
+QUERIES = {"p4_found": p4_found, "p4_matches": p4_matches, "p2_found": p2_found, "p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
 
 _ACCOUNTS = r"""
 WITH a AS (
