@@ -284,22 +284,22 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
         g = g.withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
         return g.where(F.col("n") * share >= F.col("all")).where("n >= 2 or all <= 2").select(*by, F.col("own").alias("block"))
 
-    by_street = stands.join(usual(["name", "word"], 20), ["name", "word"]).select("aid", "side", "own", "block").distinct()
+    # Numbers only, and few: written once, so that the plans below stay small.
+    by_street = checkpointed(stands.join(usual(["name", "word"], 20), ["name", "word"]).select("aid", "side", "own", "block").distinct())
     settled = slim.where("own <> ''").join(by_street.where("own = block"), ["aid", "side"], "left_semi").select("aid", "side")
-    loose = stands.join(settled, ["aid", "side"], "left_anti")
     placed = by_street.join(settled, ["aid", "side"], "left_anti").select("aid", "side", "block")
-    lost = loose.where("own = ''").join(placed, ["aid", "side"], "left_anti")
-    guessed = lost.join(usual(["word"], 100), "word").select("aid", "side", "block").distinct()
+    lost = stands.where("own = ''").join(by_street, ["aid", "side"], "left_anti")
+    guessed = checkpointed(lost.join(usual(["word"], 100), "word").select("aid", "side", "block").distinct())
     # Where even the locality is mistyped, the blocks of the street anywhere.
-    astray = slim.where("own = ''").join(placed.unionByName(guessed), ["aid", "side"], "left_anti")
+    astray = slim.where("own = ''").join(by_street.select("aid", "side").unionByName(guessed.select("aid", "side")), ["aid", "side"], "left_anti")
     guessed = guessed.unionByName(astray.join(usual(["name"], 400), "name").select("aid", "side", "block"))
-    blocks = slim.where("own <> ''").select("aid", "side", F.col("own").alias("block")).unionByName(placed).unionByName(guessed).distinct()
+    blocks = checkpointed(slim.where("own <> ''").select("aid", "side", F.col("own").alias("block")).unionByName(placed).unionByName(guessed).distinct())
     a = both.where((unit != "") | (number != "")).select("aid", "side", "parts", street.alias("name"), key.alias("key")).join(blocks, ["aid", "side"])
     s = slim.select("aid", "side", "name").join(blocks, ["aid", "side"]).select("side", "block", "name").distinct()
     s = s.withColumn("v", F.explode(deletions(F.col("name"))))
     sl = s.where("side = 'l'").select("block", "v", F.col("name").alias("l_name"))
     sr = s.where("side = 'r'").select("block", "v", F.col("name").alias("r_name"))
-    near = sl.join(sr, ["block", "v"]).select("block", "l_name", "r_name").distinct().where("levenshtein(l_name, r_name) <= 2")
+    near = checkpointed(sl.join(sr, ["block", "v"]).select("block", "l_name", "r_name").distinct().where("levenshtein(l_name, r_name) <= 2"))
     al = a.where("side = 'l'").select("block", "key", F.col("name").alias("l_name"), F.col("aid").alias("l_aid"), F.col("parts").alias("x"))
     ar = a.where("side = 'r'").select("block", "key", F.col("name").alias("r_name"), F.col("aid").alias("r_aid"), F.col("parts").alias("y"))
     # The side of the contacts is the smaller: it takes the near streets of the other side first.

@@ -41,7 +41,7 @@ def words(name: str) -> tuple[tuple[str, ...], bool]:
     parts = [_WORD.findall(low)] if comma < 0 else [_WORD.findall(low[comma:]), _WORD.findall(low[:comma])]
     out = []
     for part in parts:
-        out += [FORMS.get(w, w) for w in part  if set(part) & _LONG else [FORMS.get(w, w) if len(w) > 1 else w for w in part]
+        out += [FORMS.get(w, w) for w in part] if set(part) & _LONG else [FORMS.get(w, w) if len(w) > 1 else w for w in part]
     single = [w for w in out if w not in TITLES or (len(w) == 1)]
     out = single or out
     return tuple(fold(w) if len(w) > 1 else w for w in out), any(w in ORGANISATION for w in out)
