@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers once per application, so that executors need no installation."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    here = os.path.dirname(os.path.abspath(__file__))
+    to = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), "ledgerloom.zip")
+    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(here):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("ledgerloom", os.path.relpath(path, here)))
+    sc.addPyFile(to)  # Spark copies it to every executor
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a scale directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
