@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import addresses, components, crossmatch, holders, leakage, sentences, survivors
+from ledgerloom.llm import addresses, components, crossmatch, holders, leakage, packing, sentences, survivors
 from ledgerloom.session import table
 
 
@@ -42,7 +42,15 @@ def p4_found(spark, sf):
     return p4_matches(spark, sf).select("record_source", "record_key", "contact_id")
 
 
-QUERIES = {"p4_found": p4_found, "p4_matches": p4_matches, "p2_found": p2_found, "p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
+def p8_assignment(spark, sf):
+    return packing.packed(table(spark, sf, "documents"), table(spark, sf, "container_sizes"))
+
+
+def p8_fill(spark, sf):
+    return packing.fill_report(p8_assignment(spark, sf), table(spark, sf, "container_sizes"))
+
+
+QUERIES = {"p8_assignment": p8_assignment, "p8_fill": p8_fill, "p4_found": p4_found, "p4_matches": p4_matches, "p2_found": p2_found, "p3_found": p3_found, "p10_found": p10_found, "p9_found": p9_found, "p1_found": p1_found, "p1_survivors": p1_survivors, "p5_found": p5_found}
 
 _ACCOUNTS = r"""
 WITH a AS (
