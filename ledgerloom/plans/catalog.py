@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import changes
+from ledgerloom.plans import changes, scalars
 
-QUERIES = {**changes.QUERIES}
-SQL = {**changes.SQL}
+QUERIES = {**changes.QUERIES, **scalars.Q}
+SQL = {**changes.SQL, **scalars.SQL}
 
 
 def flagship(spark, sf):
