@@ -46,7 +46,7 @@ def similar_pairs(df: DataFrame, order: str, name: str, address: str, least: flo
     address is only scored for pairs whose names passed. Copies of one text are told by text_rows;
     rows stand for their texts by their smallest number.
     """
-    t = df.select(F.col(order).alias("r"), sorted_tokens(F.lower(F.col(name))).alias("n"), sorted_tokens(F.lower(F.regexp_replace(F.col(address), r"[\s,;]+", " "))).alias("a"))
+    t = df.select(F.col(order).alias("r"), sorted_tokens(F.lower(F.regexp_replace(F.col(name), r"[\s,;]+", " "))).alias("n"), sorted_tokens(F.lower(F.regexp_replace(F.col(address), r"[\s,;]+", " "))).alias("a"))
     t = t.where("n <> '' and a <> ''").groupBy("n", "a").agg(F.min("r").alias("r"), F.count(F.lit(1)).alias("text_rows"))
     t = t.withColumn("b", F.substring("n", 1, prefix))
     x, y = t.select("b", *[F.col(c).alias(f"{c}1") for c in ("r", "n", "a", "text_rows")]), t.select("b", *[F.col(c).alias(f"{c}2") for c in ("r", "n", "a", "text_rows")])

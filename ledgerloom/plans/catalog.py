@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import changes, scalars
+from ledgerloom.plans import changes, relational, scalars
 
-QUERIES = {**changes.QUERIES, **scalars.Q}
-SQL = {**changes.SQL, **scalars.SQL}
+QUERIES = {**changes.QUERIES, **scalars.Q, **relational.Q}
+SQL = {**changes.SQL, **scalars.SQL, **relational.SQL}
 
 
 def flagship(spark, sf):
-    return changes.p6_found(spark, sf)
+    return relational.row09_flag(spark, sf)
