@@ -53,17 +53,32 @@ def evidence(address: str | None, demat: str | None, phone: str | None, mail: st
 
 
 def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
-    """(node, row, name, ev): rows with the key of their name (null where there is none) and their evidence."""
+    """(node, row, name, keys, has): rows with the key of their name (null where there is none).
+
+    keys are numbers of each piece of evidence together with the head of each word of the name:
+    two rows with a common key share something else and begin alike in a word. The lowest two bits
+    keep the kind of evidence. has tells what there is: 1 a demat number, 2 an address.
+    """
     c = [F.col(x).cast("string").alias(f"__{i}") for i, x in enumerate(cols)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = [b.column(i).to_pylist() for i in range(7)]
-            name = [(names.key(x) or None) if x else None for x in v[2]]
-            ev = [evidence(*x) for x in zip(*v[3:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(ev, pa.list_(pa.int64()))], ["node", "row", "name", "ev"])
-
-    return df.select("node", "row", *c).mapInArrow(run, "node long, row long, name string, ev array<long>")
+            name, keys, has, at = [], [], [], []
+            for x, *rest in zip(*v[2:]):
+                k = (names.key(x) or None) if x else None
+                e = evidence(*rest)
+                heads = {w[:3] for w in k.split() if len(w) > 1} if k else ()
+                name.append(k)
+                keys.append([names.hash_pair(q, names._h(h)) & ~3 | q & 3 for q in e for h in heads])
+                has.append(max([0] + [1 for q in e if q & 3 == 0]) | max([0] + [2 for q in e if q & 3 == 2]))
+                at.append(next((q for q in e if q & 3 == 2), None))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(has, pa.int32()), pa.array(at, pa.int64())],
+                ["node", "row", "name", "keys", "has", "at"],
+            )
+
+    return df.select("node", "row", *c).mapInArrow(run, "node long, row long, name string, keys array<long>, has int, at long")
 
 
 def alias_map(aliases: DataFrame) -> dict[str, frozenset[str]]:
@@ -98,7 +113,7 @@ def name_links(left: DataFrame, right: DataFrame, v: names.Vectors, least: float
     """(l_name, r_name, cos): all pairs of distinct names whose n-gram vectors have a cosine of at least least.
 
     Sparse cosine join over an inverted index with a prefix filter by words (Vectors.index_keys);
-    no cap on partners, sorted best first by whoever wants the top n.
+    the index holds numbers of names only. No cap on partners; the top n are the first n by cos.
     """
     held = left.sparkSession.sparkContext.broadcast(v)
 
@@ -106,14 +121,11 @@ def name_links(left: DataFrame, right: DataFrame, v: names.Vectors, least: float
         m = held.value
         for b in batches:
             n, k = [], []
-            for name in b.column(0).to_pylist():
+            for num, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 x = m.index_keys(name, least)
-                n += [name] * len(x)
+                n += [num] * len(x)
                 k += x
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.string()), pa.array(k, pa.int64())], ["name", "k"])
-
-    def index(df: DataFrame, name: str) -> DataFrame:
-        return df.mapInArrow(keys, "name string, k long").withColumnRenamed("name", name)
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(k, pa.int64())], ["n", "k"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -123,8 +135,12 @@ def name_links(left: DataFrame, right: DataFrame, v: names.Vectors, least: float
             keep = [i for i, s in enumerate(c) if s >= least]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.string()), pa.array([y[i] for i in keep], pa.string()), pa.array([c[i] for i in keep], pa.float64())], ["l_name", "r_name", "cos"])
 
-    cand = index(left, "l_name").join(index(right, "r_name"), "k").select("l_name", "r_name").distinct()
-    return cand.mapInArrow(verify, "l_name string, r_name string, cos double")
+    l, r = (df.select(F.xxhash64("name").alias("n"), "name") for df in (left, right))
+    li = l.mapInArrow(keys, "n long, k long").withColumnRenamed("n", "ln")
+    ri = r.mapInArrow(keys, "n long, k long").withColumnRenamed("n", "rn")
+    cand = li.join(ri, "k").select("ln", "rn").distinct()
+    both = cand.join(l.select(F.col("n").alias("ln"), F.col("name").alias("l_name")), "ln").join(r.select(F.col("n").alias("rn"), F.col("name").alias("r_name")), "rn")
+    return both.select("l_name", "r_name").mapInArrow(verify, "l_name string, r_name string, cos double")
 
 
 def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -146,50 +162,34 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     con = contacts.where("id is not null and name is not null").withColumn("node", F.xxhash64(F.lit("contact"), "id").bitwiseAND(F.lit(-2)))
     rows = described(acc.withColumn("row", F.col("id")), ("full_name", "address", "demat_account", "mobile_number", "email_id"))
     book = described(con.withColumn("row", F.col("id")), ("name", "address", "demat_no", "contact", "email"))
-    rows, book = checkpointed(rows), checkpointed(book.where("name is not null"))
-    every = rows.unionByName(book)
-    called = checkpointed(every.where("name is not null").select("node", "name").distinct())
+    rows, book = checkpointed(rows.where("name is not null")), checkpointed(book.where("name is not null"))
+    called = rows.select("node", "name").distinct().unionByName(book.select("node", "name"))
     short = alias_map(aliases)
-    v = vectors(called.select("name").distinct())
+    ours, theirs = book.select("name").distinct(), checkpointed(rows.groupBy("name").agg(F.approx_count_distinct("at").alias("places")))
+    v = vectors(ours.unionByName(theirs.select("name")))
     spark = lines.sparkSession
     held, held_short = spark.sparkContext.broadcast(v), spark.sparkContext.broadcast(short)
 
-    # Pairs that share something else and begin alike in a word.
-    proof = every.select("node", F.explode("ev").alias("e")).distinct()
-    head = called.select("node", F.explode(F.split("name", " ")).alias("w")).where("length(w) > 1").select("node", F.substring("w", 1, 3).alias("h")).distinct()
-    k = proof.join(head, "node")
-    both = k.select(F.col("node").alias("i"), "e", "h").join(k.select(F.col("node").alias("j"), "e", "h"), ["e", "h"]).where("i < j")
-    kinds = lambda n: F.max(((F.pmod("e", F.lit(4))) == n).cast("int"))
+    # Pairs that share something else and begin alike in a word, one of them at least with a contact.
+    mine = book.select("node", F.explode("keys").alias("k")).distinct()
+    asked = mine.select("k").distinct()
+    k = checkpointed(mine.unionByName(rows.select("node", F.explode("keys").alias("k")).join(asked, "k", "left_semi").select("node", "k").distinct()))
+    both = k.select(F.col("node").alias("i"), "k").join(k.select(F.col("node").alias("j"), "k"), "k").where("i < j")
+    kinds = lambda n: F.max((F.col("k").bitwiseAND(F.lit(3)) == n).cast("int"))
     near = both.groupBy("i", "j").agg(kinds(0).alias("d"), kinds(1).alias("p"), kinds(2).alias("a"))
     n1 = called.select(F.col("node").alias("i"), F.col("name").alias("x"))
     n2 = called.select(F.col("node").alias("j"), F.col("name").alias("y"))
     near = near.join(n1, "i").join(n2, "j")
 
     # Names that are alike by themselves, unless borne at several addresses.
-    addr = every.where("name is not null").select("name", F.get(F.filter("ev", lambda e: F.pmod(e, F.lit(4)) == 2), F.lit(0)).alias("at")).where("at is not null")
-    spread = addr.groupBy("name").agg(F.approx_count_distinct("at").alias("places"))
-    ours = book.select(F.col("name")).distinct()
-    theirs = rows.where("name is not null").select("name").distinct()
-    alone = name_links(theirs, ours, v)
-    alone = (
-        alone.join(spread.select(F.col("name").alias("l_name"), F.col("places").alias("lp")), "l_name", "left")
-        .join(spread.select(F.col("name").alias("r_name"), F.col("places").alias("rp")), "r_name", "left")
-        .where("coalesce(lp, 0) <= 2 and coalesce(rp, 0) <= 2")
-    )
-    has = every.groupBy("node").agg(
-        F.max(F.exists("ev", lambda e: F.pmod(e, F.lit(4)) == 0).cast("int")).alias("d"), F.max(F.exists("ev", lambda e: F.pmod(e, F.lit(4)) == 2).cast("int")).alias("a")
-    )
-    l = called.join(theirs, "name", "left_semi").where("pmod(node, 2) = 1").join(has, "node")
-    r = called.where("pmod(node, 2) = 0").join(has, "node")
-    apart = (
-        alone.join(l.select(F.col("name").alias("l_name"), F.col("node").alias("i"), F.col("d").alias("ld"), F.col("a").alias("la")), "l_name")
-        .join(r.select(F.col("name").alias("r_name"), F.col("node").alias("j"), F.col("d").alias("rd"), F.col("a").alias("ra")), "r_name")
-        .select(
-            F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
-            # What both have and yet do not share speaks against them.
-            F.lit(0).alias("d"), F.lit(0).alias("p"), (-(F.col("la") * F.col("ra")) - F.col("ld") * F.col("rd")).alias("a"), F.col("l_name").alias("x"), F.col("r_name").alias("y"),
-        )
-    )
+    few = theirs.where("places <= 2").select("name")
+    alone = name_links(few, ours, v)
+    l = rows.groupBy("node", "name").agg(F.bit_or("has").alias("lh"))
+    r = book.select("node", "name", F.col("has").alias("rh"))
+    apart = alone.join(l.select(F.col("name").alias("l_name"), F.col("node").alias("i"), "lh"), "l_name").join(r.select(F.col("name").alias("r_name"), F.col("node").alias("j"), "rh"), "r_name")
+    # What both have and yet do not share speaks against them.
+    against = -(F.col("lh").bitwiseAND(F.col("rh")).bitwiseAND(F.lit(1))) - F.col("lh").bitwiseAND(F.col("rh")).bitwiseAND(F.lit(2)) / 2
+    apart = apart.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), F.lit(0).alias("d"), F.lit(0).alias("p"), against.cast("int").alias("a"), F.col("l_name").alias("x"), F.col("r_name").alias("y"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, al = held.value, held_short.value
@@ -212,6 +212,7 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     cols = ["i", "j", "d", "p", "a", "x", "y"]
     scored = near.select(*cols).unionByName(apart.select(*cols)).mapInArrow(judge, "i long, j long, s double")
     label = average_linkage(scored, names.MERGE)
-    mine = rows.where("name is not null").select("node", F.col("row").alias("shareholder_row")).join(label, "node").select("cluster", "shareholder_row")
-    yours = book.select("node", F.col("row").alias("contact_id")).join(label, "node").select("cluster", "contact_id")
-    return mine.join(yours, "cluster").select("shareholder_row", "contact_id").distinct()
+    label = checkpointed(label)
+    have = rows.select("node", F.col("row").alias("shareholder_row")).join(label, "node").select("cluster", "shareholder_row")
+    want = book.select("node", F.col("row").alias("contact_id")).join(label, "node").select("cluster", "contact_id")
+    return have.join(want, "cluster").select("shareholder_row", "contact_id").distinct()

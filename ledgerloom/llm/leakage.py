@@ -75,7 +75,7 @@ class Passages:
     def __init__(self, items: list[tuple[int, str]]):
         import ahocorasick
 
-        self.items, self.windows, self.auto, at = [], [], ahocorasick.Automaton(), {}
+        self.items, self.windows, self.halves, self.auto, at = [], [], [], ahocorasick.Automaton(), {}
         for item, passage in items:
             s = squeeze(passage)
             if not s:
@@ -86,36 +86,44 @@ class Passages:
             self.items.append((item, s, q, n))
             for j in range(n):
                 at.setdefault(s[j * q : (j + 1) * q], []).append((k, j))
+            h = max(1, q // 2)
+            self.halves.append([(s[i : i + h], s[i + q - h : i + q]) for i in range(0, n * q, q)])
             self.windows.append([self._window(s, q, w) for w in range(max(1, n - BUDGET))])
         for piece, where in at.items():
             self.auto.add_word(piece, where)
+        self.least = [(n * COVER - (BUDGET + 1)) / (BUDGET + 1) for _, _, _, n in self.items]
         self.empty = not at
         if at:
             self.auto.make_automaton()
 
     @staticmethod
-    def _window(s: str, q: int, w: int) -> tuple[int, int, list[list[str]], dict[str, int]]:
-        """A window's place, the halves of its pieces and its pattern masks for Myers' algorithm."""
+    def _window(s: str, q: int, w: int) -> tuple[int, int, dict[str, int]]:
+        """A window's place and its pattern masks for Myers' algorithm."""
         a, b = w * q, min(len(s), (w + BUDGET + 1) * q)
-        h = max(1, q // 2)
-        pairs = [(s[i : i + h], s[i + q - h : i + q]) for i in range(a, b - q + 1, q)]
-        # For a hit of each piece, the halves of the others.
-        others = [[x for e, p in enumerate(pairs) if e != d for x in p] for d in range(BUDGET + 1)]
-        return a, b, others, masks(s[a:b])
+        return a, b, masks(s[a:b])
 
     def found(self, text: str) -> list[int]:
         """Items of which the text repeats enough."""
         if self.empty:
             return []
         t = squeeze(text)
-        hits: dict[int, dict[int, list[int]]] = {}
-        for end, where in self.auto.iter(t):
+        found = list(self.auto.iter(t))
+        count: dict[int, int] = {}
+        for _, where in found:
+            for k, _ in where:
+                count[k] = count.get(k, 0) + 1
+        # A covered half holds at least one exact piece in each window: fewer hits cannot be enough.
+        least = self.least
+        hits: dict[int, dict[int, list[int]]] = {k: {} for k, n in count.items() if n >= least[k]}
+        if not hits:
+            return []
+        for end, where in found:
             for k, j in where:
-                hits.setdefault(k, {}).setdefault(j, []).append(end)
+                if k in hits:
+                    hits[k].setdefault(j, []).append(end)
         out = []
         for k, by in hits.items():
-            # A covered half holds at least one exact piece in each window: fewer hits cannot be enough.
-            if len(by) * (BUDGET + 1) >= self.items[k][3] * COVER - (BUDGET + 1) and self.covered(k, by, t) >= COVER:
+            if len(by) >= least[k] and self.covered(k, by, t) >= COVER:
                 out.append(self.items[k][0])
         return out
 
@@ -126,28 +134,38 @@ class Passages:
         mask = bytearray(size)
         tried: set[int] = set()
         slack = BUDGET + 1
-        windows = self.windows[k]
+        windows, halves = self.windows[k], self.halves[k]
+        last_w, last_j = len(windows) - 1, len(halves) - 1
         for j, ends in by.items():
             for end in ends:
                 zero = end - q + 1 - j * q  # where the passage would begin
                 near = (zero // (slack + 1)) * (n + 1)
-                for w in range(max(0, j - BUDGET), min(j, len(windows) - 1) + 1):
-                    if near + w in tried:
+                # The pigeonhole again: each edit spoils one half of a piece at most, so a window with
+                # more than BUDGET halves missing near the hit is out. Missing halves of the two
+                # pieces before and behind:
+                lo = end - 3 * q - slack
+                around = t[lo if lo > 0 else 0 : end + 2 * q + slack + 1]
+                l1 = l2 = r1 = r2 = 0
+                if j > 0:
+                    x, y = halves[j - 1]
+                    l1 = (x not in around) + (y not in around)
+                if j < last_j:
+                    x, y = halves[j + 1]
+                    r1 = (x not in around) + (y not in around)
+                if j > 1:
+                    x, y = halves[j - 2]
+                    l2 = (x not in around) + (y not in around) if l1 <= BUDGET else 2
+                if j + 1 < last_j:
+                    x, y = halves[j + 2]
+                    r2 = (x not in around) + (y not in around) if r1 <= BUDGET else 2
+                for w, missing in ((j - 2, l2 + l1), (j - 1, l1 + r1), (j, r1 + r2)):
+                    if missing > BUDGET or w < 0 or w > last_w or near + w in tried:
                         continue
                     tried.add(near + w)
-                    a, b, others, peq = windows[w]
+                    a, b, peq = windows[w]
                     place = zero + a
                     lo = place - slack if place > slack else 0
                     region = t[lo : place + b - a + slack]
-                    # The pigeonhole again: each edit spoils one half piece at most.
-                    missing = 0
-                    for h in others[j - w]:
-                        if h not in region:
-                            missing += 1
-                            if missing > BUDGET:
-                                break
-                    if missing > BUDGET:
-                        continue
                     if place >= 0 and t[place : place + b - a] == s[a:b]:
                         dist, last = 0, place - lo + b - a - 1
                     else:

@@ -154,7 +154,9 @@ class Vectors:
 
 
 def hash_pair(a: int, b: int) -> int:
-    return (a * FEATURES + b) * 0x9E3779B97F4A7C15 % (1 << 63)
+    """One number below 2^63 of two numbers."""
+    x = ((a & 0xFFFFFFFFFFFFFFFF) * 0x9E3779B97F4A7C15 + b * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF
+    return (x ^ x >> 32) * 0x9E3779B97F4A7C15 & 0x7FFFFFFFFFFFFFFF
 
 
 def compatible(a: str, b: str, aliases: dict[str, frozenset[str]]) -> float:

@@ -25,7 +25,7 @@ CLOSE = 64
 #: size; then the nearest of those that fill it to within SLACK of the best fit.
 FREE, SLACK = 0.5, 0.05
 #: A term in more than this share of a shard's documents tells no neighbours apart.
-COMMON = 0.5
+COMMON = 0.25
 
 _WORD = re.compile(r"\w+")
 _SPACELESS = re.compile("[぀-ヿ㐀-鿿฀-๿]")
@@ -64,25 +64,56 @@ class Index:
         doc, tid, tf = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (docs, tids, tfs))
         order = np.argsort(tid, kind="stable")
         self.doc = doc[order]
+        self.terms, self.from_ = tid, np.r_[0, np.cumsum([len(q) for q in self.queries])].astype(np.int64)
+        self.asked = np.zeros(len(ids), bool)
+        self.kept: dict[int, np.ndarray] = {}
         df = np.bincount(tid, minlength=len(ids)) if len(tid) else np.zeros(0, int)
         self.at = np.r_[0, np.cumsum(df)]
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
         length = np.array(lens, np.float32)
         norm = K1 * (1 - B + B * length / max(1.0, length.mean() if n else 1.0))
-        self.weight = (idf[tid] * tf * (K1 + 1) / (tf + norm[doc]))[order].astype(np.float32) if len(tid) else np.zeros(0, np.float32)
+        self.forward = (idf[tid] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32) if len(tid) else np.zeros(0, np.float32)
+        self.weight = self.forward[order]
         self.useful = (df > 1) & (df <= max(1, COMMON * n)) if len(df) else np.zeros(0, bool)
 
     def scores(self, d: int) -> np.ndarray:
-        """BM25 of every document for document d as the query."""
+        """BM25 of every document for document d as the query; kept, as every capacity asks for much the same seeds."""
+        if d not in self.kept:
+            self.kept[d] = self._scores(d)
+        return self.kept[d]
+
+    def _scores(self, d: int) -> np.ndarray:
         q = self.queries[d]
         q = q[self.useful[q]] if len(q) else q
         if not len(q):
             return np.zeros(self.n, np.float32)
         spans = [slice(self.at[t], self.at[t + 1]) for t in q]
-        return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
+        return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n).astype(np.float32)
+
+
+    def scores_of(self, d: int, docs: np.ndarray) -> np.ndarray:
+        """The same for a few documents only, from their own terms."""
+        q = self.queries[d]
+        q = q[self.useful[q]] if len(q) else q
+        a, b = self.from_[docs], self.from_[docs + 1]
+        n = b - a
+        out = np.zeros(len(docs), np.float32)
+        if not len(q) or not n.sum():
+            return out
+        at = np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        self.asked[q] = True
+        v = np.where(self.asked[self.terms[at]], self.forward[at], np.float32(0))
+        self.asked[q] = False
+        full = n > 0
+        out[full] = np.add.reduceat(v, np.r_[0, np.cumsum(n)[:-1]][full])
+        return out
+
 
+#: Up to so many candidates are scored one by one, more by the inverted index.
+FEW = 150
 
-def pack(sizes: np.ndarray, capacity: int, scores) -> list[list[int]]:
+
+def pack(sizes: np.ndarray, capacity: int, scores, scores_of=None) -> list[list[int]]:
     """Containers of at most capacity, as lists of item numbers; every item is put into one, whole.
 
     Seeds are taken from the largest item down. A seed's window is filled with the unused items
@@ -126,9 +157,11 @@ def pack(sizes: np.ndarray, capacity: int, scores) -> list[list[int]]:
                 end = int(np.searchsorted(down, -(int(rank[top]) - slack), side="right"))
             places = np.flatnonzero(alive[top:end]) + top if end - top > 1 else np.array([top])
             if len(places) > 1:
-                if near is None:
-                    near = scores(box[0])
-                s = near[order[places]]
+                if near is None and scores_of is not None and end < n and len(places) <= FEW:
+                    s = scores_of(box[0], order[places])
+                else:
+                    near = scores(box[0]) if near is None else near
+                    s = near[order[places]]
                 if end == n:
                     # Take as many of the nearest as fit in one go, best first.
                     k = min(len(places), 64)
@@ -224,7 +257,7 @@ def packed(documents: DataFrame, containers: DataFrame) -> DataFrame:
                     number += 1
             items = np.flatnonzero(~((rest == 0) & (size > 0)))
             del cut
-            boxes = pack(rest[items], capacity, lambda k: index.scores(int(items[k]))[items])
+            boxes = pack(rest[items], capacity, lambda k: index.scores(int(items[k]))[items], lambda k, some: index.scores_of(int(items[k]), items[some]))
             fill = [sum(int(rest[items[k]]) for k in box) for box in boxes]
             least = min(range(len(boxes)), key=lambda k: fill[k]) if boxes else -1
             opened = [False] * len(cols[0])

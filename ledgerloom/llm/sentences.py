@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ _SCRIPTS = (
     ("hi", 0x0900, 0x097F), ("ar", 0x0600, 0x06FF), ("ta", 0x0B80, 0x0BFF), ("th", 0x0E00, 0x0E7F),
     ("ja", 0x3040, 0x30FF), ("zh", 0x4E00, 0x9FFF), ("ko", 0xAC00, 0xD7AF), ("ru", 0x0400, 0x04FF), ("el", 0x0370, 0x03FF),
 )
-_SCRIPT = re.compile("|".join(f"(?P<{n}>[{chr(a)}-{chr(b)}]+)" for n, a, b in _SCRIPTS))
+_FOREIGN = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for _, a, b in _SCRIPTS) + "]+")
 UNCASED = {"hi", "ar", "ta", "th", "ja", "zh", "ko"}
 SPACELESS = {"ja", "zh"}
 
@@ -41,6 +42,7 @@ _TOKEN = re.compile(rf"(?P<span>{_SPAN})|(?P<dots>\.{{2,}}|…+)|(?P<hard>[{HARD
 _ENDS = re.compile(rf"(?:[{HARD}]|\.|…)\s*$")
 _STRIP = "\"'“”‘’„«»‹›()[]（）「」『』¿¡,;:،؛-–—"
 _DIGITS = re.compile(r"\d+")
+_NEXT = re.compile(r"\s*(\S*)")
 _AFTER = re.compile(rf"[{HARD}]+\s*(\S+|$)")
 
 
@@ -50,13 +52,21 @@ def language(label: str | None) -> str:
     return low if low in ("en", "fr", "de", "es", "it", "pt", "nl") else ""
 
 
+@lru_cache(maxsize=70_000)
+def _script_of(ch: str) -> str:
+    c = ord(ch)
+    return next(n for n, a, b in _SCRIPTS if a <= c <= b)
+
+
 def script(text: str, latin: str) -> str:
     """Key of a paragraph's statistics: its script's language, or for the Latin script the document's."""
     if text.isascii():
         return latin
     counts: Counter[str] = Counter()
-    for m in _SCRIPT.finditer(text):
-        counts[m.lastgroup] += m.end() - m.start()
+    for run in _FOREIGN.findall(text):
+        counts[_script_of(run[0])] += len(run)
+        if "\u3040" <= max(run) <= "\u9fff" and min(run) < "\u3100":
+            counts["ja"] += 1
     if not counts:
         return latin
     top, n = counts.most_common(1)[0]
@@ -99,12 +109,14 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
             start = None
 
 
+@lru_cache(maxsize=100_000)
 def norm_dot(token: str) -> str:
     """Type of a token before a period: no case, digits by length."""
     t = token.lstrip(_STRIP).lower()
     return _DIGITS.sub(lambda m: "9" if len(m[0]) <= 2 else "99", t)
 
 
+@lru_cache(maxsize=100_000)
 def norm_word(token: str, lang: str) -> str:
     """Type of a token that may start a sentence."""
     t = token.strip(_STRIP + ".!?।")
@@ -113,6 +125,7 @@ def norm_word(token: str, lang: str) -> str:
     return _DIGITS.sub("9", t)
 
 
+@lru_cache(maxsize=100_000)
 def word_class(word: str) -> str:
     """Class a rare word backs off to."""
     if not word:
@@ -125,6 +138,7 @@ def word_class(word: str) -> str:
     return "*aa" if c.islower() else "*x" if c.isalpha() else "*p"
 
 
+@lru_cache(maxsize=100_000)
 def dot_class(t: str) -> str:
     """Class a rare type before a period backs off to."""
     if not t:
@@ -349,13 +363,9 @@ def cut(p: str, lang: str, model: Model) -> list[int]:
 
     def after(i: int) -> tuple[int, str, bool]:
         """Position and text of the next token, and whether white space comes before it."""
-        j = i
-        while j < size and p[j].isspace():
-            j += 1
-        k = j
-        while k < size and not p[k].isspace():
-            k += 1
-        return j, p[j : k if lang not in SPACELESS else j + 3], j > i
+        m = _NEXT.match(p, i)
+        j = m.start(1)
+        return j, m[1] if lang not in SPACELESS else p[j : j + 3], j > i
 
     mark = _MARK.search(p, at)
     while mark:

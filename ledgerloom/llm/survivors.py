@@ -39,7 +39,9 @@ def account_lines(lines: DataFrame) -> DataFrame:
     )
     have = known.where("__folio is not null").withColumn("__acct", F.concat(F.lit("f:"), "__folio"))
     lack = known.where("__folio is null")
-    shown = known.where("__folio is not null and __cli is not null").select("__co", "__folio", "__full", "__cli")
+    # Only the accounts of numbers that a line without folio shows are looked up: a small part.
+    sought = lack.where("__cli is not null").select("__co", "__cli").distinct()
+    shown = known.where("__folio is not null and __cli is not null").select("__co", "__folio", "__full", "__cli").join(sought, ["__co", "__cli"], "left_semi")
 
     def lookup(key: str, name: str) -> DataFrame:
         g = shown.groupBy("__co", key).agg(F.min("__folio").alias("a"), F.max("__folio").alias("b"))
