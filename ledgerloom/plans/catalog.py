@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import changes, relational, scalars
+from ledgerloom.plans import changes, flows, relational, scalars
 
-QUERIES = {**changes.QUERIES, **scalars.Q, **relational.Q}
-SQL = {**changes.SQL, **scalars.SQL, **relational.SQL}
+QUERIES = {**changes.QUERIES, **scalars.Q, **relational.Q, **flows.Q}
+SQL = {**changes.SQL, **scalars.SQL, **relational.SQL, **flows.SQL}
 
 
 def flagship(spark, sf):
