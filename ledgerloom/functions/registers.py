@@ -40,13 +40,11 @@ def folio_key(folio: Column | str) -> Column:
 
     Null where nothing is left.
     """
+    # One chain of replacements, so that nothing is computed twice.
     s = F.regexp_replace(F.upper(_c(folio)), r"[^A-Z0-9]", "")
-    s = F.regexp_replace(s, r"^FOLIO(NO)?", "")
-    head = F.regexp_extract(s, r"^([A-Z]*?)([0-9O]*[0-9][0-9O]*)$", 1)
-    tail = F.regexp_extract(s, r"^([A-Z]*?)([0-9O]*[0-9][0-9O]*)$", 2)
-    digits = F.regexp_replace(F.translate(tail, "O", "0"), r"^0+(?=.)", "")
-    key = F.when(tail != "", F.concat(head, digits)).otherwise(s)
-    return F.when((key != "") & ~key.isin("NA", "NIL", "NONE", "NULL"), key)
+    s = F.regexp_replace(s, r"^(FOLIO(NO)?|(NA|NIL|NONE|NULL)$)", "")
+    s = F.regexp_replace(s, r"O(?=[0-9O]*[0-9][0-9O]*$)|(?<=[0-9]O{0,8})O(?=O*$)", "0")
+    return F.nullif(F.regexp_replace(s, r"^([A-Z]*)0+(?=[0-9]+$)", "$1"), F.lit(""))
 
 
 def company_key(company: Column | str) -> Column:

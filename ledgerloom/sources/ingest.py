@@ -101,7 +101,7 @@ def register_lines(pages: DataFrame, page: str, text: str) -> DataFrame:
     first = lambda rx: F.coalesce(F.get(F.filter(follow, lambda x: x.rlike(rx)), 0), F.lit(""))
     return l.where(F.col("t").rlike(p)).select(
         page, "line", g(1).cast("int").alias("sr_no"), g(2).alias("identity"), F.trim(g(3)).alias("name"), pin.alias("pincode"),
-        F.trim(F.when(pin != "", F.substring_index(g(4), pin, 1)).otherwise(g(4))).alias("address"),
+        F.trim(F.regexp_replace(g(4), r"\b\d{6}\b.*$", "")).alias("address"),
         first(r"^[A-Z]{1,3}\d{4,}$").alias("folio"), first(r"^[\d,]+\.\d{2}$").alias("amount"), first(r"^\d{1,6}$").alias("shares"),
     )
 

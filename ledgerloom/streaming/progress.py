@@ -83,11 +83,12 @@ def counts_by_window(stream: DataFrame, every: str = "1 hour", late: str = "2 ho
     return stream.withWatermark("ts", late).groupBy(F.window("ts", every), "step").agg(F.count(F.lit(1)).alias("n"), F.max("pct").alias("furthest")).select(F.col("window.start").alias("start"), "step", "n", "furthest")
 
 
-def terminal_stream(stream: DataFrame, late: str = "2 hours") -> DataFrame:
+def terminal_stream(stream: DataFrame, late: str = "2 hours", forget_hours: int = 168) -> DataFrame:
     """Emits each job once, when its first terminal event arrives, with the events counted until then.
 
     Custom state per job (events so far, ended or not), kept by the state store and thus by the
-    streaming checkpoint; a job without events for the watermark's delay is dropped from state.
+    streaming checkpoint; a job without events for forget_hours of event time is dropped from state
+    (if it comes back after that it counts as new).
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -106,7 +107,7 @@ def terminal_stream(stream: DataFrame, late: str = "2 hours") -> DataFrame:
                 yield pd.DataFrame({"job_id": [key[0]], "end_seq": [seq], "status": [status], "events": [n]})
         state.update((n, ended))
         mark = state.getCurrentWatermarkMs()
-        state.setTimeoutTimestamp(max(mark + 1, int(rows["ts"].max().timestamp() * 1000)) + 7_200_000)
+        state.setTimeoutTimestamp(max(mark + 1, int(rows["ts"].max().timestamp() * 1000)) + forget_hours * 3_600_000)
 
     return stream.withWatermark("ts", late).groupBy("job_id").applyInPandasWithState(
         step, "job_id long, end_seq long, status string, events long", "events long, ended boolean", "append", GroupStateTimeout.EventTimeTimeout
