@@ -187,9 +187,12 @@ def count(texts: list[str | None], langs: list[str | None], into: dict[tuple[str
                 elif nxt[0] not in CLOSERS:
                     into[lang, "m"][""] += 1
                     into[lang, "s"][norm_word(nxt, lang)] += 1
+            if "." not in p:
+                continue
             last = len(tokens) - 1
-            for i, tok in enumerate(tokens):
-                if tok[-1] != "." or (item and i == 0):
+            for i in [i for i, tok in enumerate(tokens) if tok[-1] == "."]:
+                tok = tokens[i]
+                if item and i == 0:
                     continue
                 t = norm_dot(tok[:-1])
                 if not t or t[-1] == ".":
