@@ -278,9 +278,11 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
     slim = both.select("aid", "side", part("pin").alias("own"), street.alias("name"), F.array_except(F.split(part("rest"), " "), known).alias("words"))
     stands = slim.select("aid", "side", "own", "name", F.explode("words").alias("word")).where("word <> ''")
 
+    met = checkpointed(stands.where("own <> ''").groupBy("name", "word", "own").agg(F.count(F.lit(1)).alias("n")))
+
     def usual(by: list[str], share: int) -> DataFrame:
         """Postcodes that make up at least one part in share of the addresses with the same street or locality."""
-        g = stands.where("own <> ''").groupBy(*by, "own").agg(F.count(F.lit(1)).alias("n"))
+        g = met if by == ["name", "word"] else met.groupBy(*by, "own").agg(F.sum("n").alias("n"))
         g = g.withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
         return g.where(F.col("n") * share >= F.col("all")).where("n >= 2 or all <= 2").select(*by, F.col("own").alias("block"))
 
