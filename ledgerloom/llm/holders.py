@@ -47,8 +47,8 @@ def evidence(address: str | None, demat: str | None, phone: str | None, mail: st
     p = parse(address)
     if p and p[3] and (p[0] or p[1]):
         at = p[0] or "n" + p[1]
-        out.append(_number("a", f"{at}|{p[3][:4]}") & ~3 | 2)
-        out.append(_number("z", f"{at}|{p[3][-4:]}") & ~3 | 2)
+        out.append(_number("a", f"{at}|{p[3][:5]}") & ~3 | 2)
+        out.append(_number("z", f"{at}|{p[3][-5:]}") & ~3 | 2)
     return out
 
 
@@ -68,7 +68,7 @@ def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
             for x, *rest in zip(*v[2:]):
                 k = (names.key(x) or None) if x else None
                 e = evidence(*rest)
-                heads = {w[:3] for w in k.split() if len(w) > 1} if k else ()
+                heads = {w[:4] for w in k.split() if len(w) > 1} if k else ()
                 name.append(k)
                 keys.append([names.hash_pair(q, names._h(h)) & ~3 | q & 3 for q in e for h in heads])
                 has.append(max([0] + [1 for q in e if q & 3 == 0]) | max([0] + [2 for q in e if q & 3 == 2]))
@@ -109,38 +109,47 @@ def vectors(distinct_names: DataFrame) -> names.Vectors:
     return names.Vectors(df.pop(-1, 0), df)
 
 
+#: Names of the smaller side indexed at once; more are searched in as many blocks as it takes.
+BLOCK = 100_000
+
+
 def name_links(left: DataFrame, right: DataFrame, v: names.Vectors, least: float = names.NAME_ALONE) -> DataFrame:
     """(l_name, r_name, cos): all pairs of distinct names whose n-gram vectors have a cosine of at least least.
 
-    Sparse cosine join over an inverted index with a prefix filter by words (Vectors.index_keys);
-    the index holds numbers of names only. No cap on partners; the top n are the first n by cos.
+    Sparse cosine join: the right side is the stated query set, sent to the tasks in blocks of BLOCK
+    names; each task holds the block's inverted index (names.Index) and streams its share of the
+    left side past it. Candidates live in one row's accumulator only, so nothing but the result is
+    written or shuffled, and a gram that all names share costs no more than its postings. No cap on
+    partners; the top n are the first n by cos.
     """
-    held = left.sparkSession.sparkContext.broadcast(v)
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
-        for b in batches:
-            n, k = [], []
-            for num, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = m.index_keys(name, least)
-                n += [num] * len(x)
-                k += x
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(k, pa.int64())], ["n", "k"])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
-        for b in batches:
-            x, y = b.column(0).to_pylist(), b.column(1).to_pylist()
-            c = [m.cosine(p, q) for p, q in zip(x, y)]
-            keep = [i for i, s in enumerate(c) if s >= least]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.string()), pa.array([y[i] for i in keep], pa.string()), pa.array([c[i] for i in keep], pa.float64())], ["l_name", "r_name", "cos"])
-
-    l, r = (df.select(F.xxhash64("name").alias("n"), "name") for df in (left, right))
-    li = l.mapInArrow(keys, "n long, k long").withColumnRenamed("n", "ln")
-    ri = r.mapInArrow(keys, "n long, k long").withColumnRenamed("n", "rn")
-    cand = li.join(ri, "k").select("ln", "rn").distinct()
-    both = cand.join(l.select(F.col("n").alias("ln"), F.col("name").alias("l_name")), "ln").join(r.select(F.col("n").alias("rn"), F.col("name").alias("r_name")), "rn")
-    return both.select("l_name", "r_name").mapInArrow(verify, "l_name string, r_name string, cos double")
+    spark = left.sparkSession
+    held = spark.sparkContext.broadcast(v)
+
+    def search(block: list[str]) -> DataFrame:
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = names.Index(sent.value, held.value, least)
+            for b in batches:
+                x, y, c = [], [], []
+                for name in b.column(0).to_pylist():
+                    for other, cos in index.search(name):
+                        x.append(name)
+                        y.append(other)
+                        c.append(cos)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(y, pa.string()), pa.array(c, pa.float64())], ["l_name", "r_name", "cos"])
+
+        return left.select("name").mapInArrow(run, "l_name string, r_name string, cos double")
+
+    out, block = None, []
+    for row in right.select("name").distinct().toLocalIterator():
+        block.append(row[0])
+        if len(block) >= BLOCK:
+            out = search(block) if out is None else out.unionByName(search(block))
+            block = []
+    if block or out is None:
+        out = search(block) if out is None else out.unionByName(search(block))
+    return out
 
 
 def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -163,7 +172,7 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     rows = described(acc.withColumn("row", F.col("id")), ("full_name", "address", "demat_account", "mobile_number", "email_id"))
     book = described(con.withColumn("row", F.col("id")), ("name", "address", "demat_no", "contact", "email"))
     rows, book = checkpointed(rows.where("name is not null")), checkpointed(book.where("name is not null"))
-    called = rows.select("node", "name").distinct().unionByName(book.select("node", "name"))
+    called = checkpointed(rows.select("node", "name").distinct().unionByName(book.select("node", "name")))
     short = alias_map(aliases)
     ours, theirs = book.select("name").distinct(), checkpointed(rows.groupBy("name").agg(F.approx_count_distinct("at").alias("places")))
     v = vectors(ours.unionByName(theirs.select("name")))
@@ -179,7 +188,7 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     near = both.groupBy("i", "j").agg(kinds(0).alias("d"), kinds(1).alias("p"), kinds(2).alias("a"))
     n1 = called.select(F.col("node").alias("i"), F.col("name").alias("x"))
     n2 = called.select(F.col("node").alias("j"), F.col("name").alias("y"))
-    near = near.join(n1, "i").join(n2, "j")
+    near = checkpointed(near).join(n1, "i").join(n2, "j")
 
     # Names that are alike by themselves, unless borne at several addresses.
     few = theirs.where("places <= 2").select("name")
@@ -210,7 +219,9 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], ["i", "j", "s"])
 
     cols = ["i", "j", "d", "p", "a", "x", "y"]
-    scored = near.select(*cols).unionByName(apart.select(*cols)).mapInArrow(judge, "i long, j long, s double")
+    # Plans are cut into small ones: each part of the pairs is judged and written by itself.
+    judged = [checkpointed(df.select(*cols).mapInArrow(judge, "i long, j long, s double")) for df in (near, apart)]
+    scored = judged[0].unionByName(judged[1])
     label = average_linkage(scored, names.MERGE)
     label = checkpointed(label)
     have = rows.select("node", F.col("row").alias("shareholder_row")).join(label, "node").select("cluster", "shareholder_row")

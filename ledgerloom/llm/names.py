@@ -7,6 +7,8 @@ import re
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
+
 from ledgerloom.llm.addresses import fold, within
 
 # Words that are no part of a name, and legal forms and trades with their short forms.
@@ -114,43 +116,60 @@ class Vectors:
             x, y = y, x
         return sum(w * y[f] for f, w in x.items() if f in y)
 
-    def index_keys(self, k: str, least: float) -> list[int]:
-        """Keys of the inverted index: pairs of rare features from different words.
+    def prefix(self, k: str, least: float) -> tuple[list[tuple[int, float]], float]:
+        """The heaviest features, as few as leave a rest shorter than least; and that rest's squared length.
 
-        A prefix filter by words: of each word the rarest features are taken until a name that shares
-        none of them in all words but one cannot reach the threshold. A pair of names above it then
-        shares a taken feature in two words at least. A name of one word gives pairs within it.
+        Two vectors that share no prefix feature have a cosine below least. Features are ordered by
+        weight in the whole collection, the same for all vectors.
         """
-        ws = k.split()
-        per = []
-        for w in dict.fromkeys(ws):
-            g = sorted(((self.idf(f), f) for f in grams(w)), reverse=True)
-            per.append(g)
-        if not per:
-            return []
-        norm = sum(x * x for g in per for x, _ in g) or 1.0
-        share = [[(x * x / norm, f) for x, f in g] for g in per]
-        whole = [sum(x for x, _ in g) for g in share]
-        if len(share) == 1:
-            fs = sorted(f for _, f in share[0][: max(2, (len(share[0]) + 1) // 2)])
-            return [hash_pair(a, b) for i, a in enumerate(fs) for b in fs[i + 1 :]] or [hash_pair(fs[0], fs[0])]
-        p = 2
-        while p < 12:
-            rest = [sum(x for x, _ in g[p:]) for g in share]
-            if sum(rest) + max(w - r for w, r in zip(whole, rest)) < least:
+        v = sorted(self.of(k).items(), key=lambda x: (-self.idf(x[0]), x[0]))
+        rest, out = 1.0, []
+        for f, w in v:
+            if rest < least * least - 1e-12:
                 break
-            p += 1
-        out = set()
-        for i, g in enumerate(share):
-            for h in share[i + 1 :]:
-                for _, a in g[:p]:
-                    for _, b in h[:p]:
-                        out.add(hash_pair(min(a, b), max(a, b)))
-            if len(ws[i] if i < len(ws) else "") >= 14:
-                # Two words typed as one: pairs within it, of features that do not overlap.
-                fs = [f for _, f in g[: 2 * p]]
-                out.update(hash_pair(min(a, b), max(a, b)) for x, a in enumerate(fs) for b in fs[x + 1 :])
-        return list(out)
+            out.append((f, w))
+            rest -= w * w
+        return out, max(0.0, rest)
+
+
+class Index:
+    """Inverted index over the prefixes of a block of names, and their whole vectors in one array."""
+
+    def __init__(self, block: list[str], v: Vectors, least: float):
+        self.block, self.v, self.least = block, v, least
+        post: dict[int, list[int]] = {}
+        feats, weights, at = [], [], [0]
+        for i, k in enumerate(block):
+            for f, _ in v.prefix(k, least)[0]:
+                post.setdefault(f, []).append(i)
+            x = v.of(k)
+            feats += x.keys()
+            weights += x.values()
+            at.append(len(feats))
+        self.post = {f: np.array(i, np.int32) for f, i in post.items()}
+        self.feats, self.weights, self.at = np.array(feats, np.int32), np.array(weights), np.array(at)
+        self.dense = np.zeros(FEATURES)
+
+    def search(self, k: str) -> list[tuple[str, float]]:
+        """All names of the block with a cosine of at least least, best first.
+
+        A name that shares no prefix feature cannot reach least; those that share one are scored in
+        full, all at once, against the name's vector laid out over the features.
+        """
+        hits = [self.post[f] for f, _ in self.v.prefix(k, self.least)[0] if f in self.post]
+        if not hits:
+            return []
+        cand = np.unique(np.concatenate(hits))
+        x = self.v.of(k)
+        f = np.fromiter(x.keys(), np.int32, len(x))
+        self.dense[f] = np.fromiter(x.values(), float, len(x))
+        a, n = self.at[cand], self.at[cand + 1] - self.at[cand]
+        start = np.r_[0, np.cumsum(n)[:-1]]
+        pos = np.repeat(a - start, n) + np.arange(n.sum())
+        s = np.add.reduceat(self.dense[self.feats[pos]] * self.weights[pos], start)
+        self.dense[f] = 0.0
+        good = np.flatnonzero(s >= self.least - 1e-12)
+        return sorted(((self.block[cand[i]], min(1.0, float(s[i]))) for i in good), key=lambda y: (-y[1], y[0]))
 
 
 def hash_pair(a: int, b: int) -> int:
