@@ -222,7 +222,7 @@ def _assign(x: list[str], y: list[str], aliases: dict[str, frozenset[str]]) -> f
             return
         for j, v in enumerate(grid[i]):
             if v > 0 and not used >> j & 1:
-                go(i + 1, used | 1 << j, total + v, full or v >= 0.9 and len(x[i]) >= 4)
+                go(i + 1, used | 1 << j, total + v, full or v >= 0.9 and len(x[i]) >= 3)
 
     go(0, 0, 0.0, False)
     return best
