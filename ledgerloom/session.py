@@ -37,9 +37,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written to the shared folder and lineage is cut."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint: the rows are written to the shared folder and lineage is cut.
+
+    A checkpoint keeps the estimated size and the constraints of the plan it replaces. In loops
+    with joins these estimates are multiplied round by round, to numbers of millions of digits that
+    fill the driver, so the rows are taken up as a new relation of unknown size; the adaptive
+    planner sees the real one.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)
+    rows = done._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
 _SHIPPED: set[str] = set()
