@@ -28,10 +28,11 @@ def _number(kind: str, value: str) -> int:
 
 
 def evidence(address: str | None, demat: str | None, phone: str | None, mail: str | None) -> list[int]:
-    """Numbers of what else tells a holder: demat client part, telephone, mail, and house or flat with street.
+    """Numbers of what else tells a holder: demat client part, telephone, mail, and house or flat with street and place.
 
-    The street counts by its head and by its tail, so that one slip leaves one of them whole. The
-    lowest two bits tell the kind: 0 demat, 1 telephone or mail, 2 address.
+    The street counts by its head; each of postcode, locality and city makes a number of its own, so
+    that one that is missing or mistyped leaves the others. The lowest two bits tell the kind: 0
+    demat, 1 telephone or mail, 2 address.
     """
     out = []
     if demat:
@@ -46,9 +47,10 @@ def evidence(address: str | None, demat: str | None, phone: str | None, mail: st
         out.append(_number("m", mail.strip().lower()) & ~3 | 1)
     p = parse(address)
     if p and p[3] and (p[0] or p[1]):
-        at = p[0] or "n" + p[1]
-        out.append(_number("a", f"{at}|{p[3][:5]}") & ~3 | 2)
-        out.append(_number("z", f"{at}|{p[3][-5:]}") & ~3 | 2)
+        at = f"{p[0] or 'n' + p[1]}|{p[3][:5]}|"
+        for place in (p[5], *p[6].split()) if p[5] or p[6] else ("",):
+            if place or not (p[5] or p[6]):
+                out.append(_number("a", at + place) & ~3 | 2)
     return out
 
 
@@ -167,7 +169,10 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     Defined results: rows without a name are in no pair; repeated rows count once.
     """
     need = ["id", "folio_no", "company_name", "demat_account", "full_name", "address", "mobile_number", "email_id"]
-    acc = account_lines(lines.select(*need).where("id is not null")).withColumn("node", F.xxhash64("__co", "__acct").bitwiseOR(F.lit(1)))
+    # City and postcode columns, where there are any, are part of a line's address.
+    more = [c for c in ("city", "pincode") if c in lines.columns]
+    src = lines.where("id is not null").select(*[c for c in need if c != "address"], F.when(F.col("address").isNotNull(), F.concat_ws(", ", "address", *more)).alias("address"))
+    acc = account_lines(src).withColumn("node", F.xxhash64("__co", "__acct").bitwiseOR(F.lit(1)))
     con = contacts.where("id is not null and name is not null").withColumn("node", F.xxhash64(F.lit("contact"), "id").bitwiseAND(F.lit(-2)))
     rows = described(acc.withColumn("row", F.col("id")), ("full_name", "address", "demat_account", "mobile_number", "email_id"))
     book = described(con.withColumn("row", F.col("id")), ("name", "address", "demat_no", "contact", "email"))
