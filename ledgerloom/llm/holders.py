@@ -20,6 +20,9 @@ from ledgerloom.session import checkpointed
 #: Most alias rows that are sent to the tasks; the list of short names is a small fixed table, and this is checked.
 ALIAS_BOUND = 200_000
 
+#: Bearers by chance from which a name alone proves nothing.
+RARE = 0.1
+
 _NOT_DIGIT = re.compile(r"\D")
 
 
@@ -94,7 +97,7 @@ def alias_map(aliases: DataFrame) -> dict[str, frozenset[str]]:
 
 
 def vectors(distinct_names: DataFrame) -> names.Vectors:
-    """Document frequencies of the hashed n-grams of all names: at most names.FEATURES numbers."""
+    """Document frequencies of the hashed n-grams and words of all names: at most twice names.FEATURES numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df: Counter[int] = Counter()
@@ -103,6 +106,7 @@ def vectors(distinct_names: DataFrame) -> names.Vectors:
             for k in b.column(0).to_pylist():
                 n += 1
                 df.update(names.grams(k).keys())
+                df.update({names.word_feature(w) for w in k.split() if len(w) > 1})
         df[-1] = n
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.int64()), pa.array(list(df.values()), pa.int64())], ["f", "n"])
 
@@ -164,7 +168,8 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     similarity from cosine, agreement of the words (initials, short names, cut or missing words)
     and the other fields; average-linkage clustering of all compared pairs, the contradicting ones
     included, forms the holders, so that two relatives at one address who share an initialled
-    variant stay apart. A name borne at several addresses proves nothing by itself.
+    variant stay apart. A name borne at several addresses, or made of words so frequent that chance would repeat
+    it, proves nothing by itself.
 
     Defined results: rows without a name are in no pair; repeated rows count once.
     """
@@ -215,8 +220,10 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
                 fit = names.compatible(x[k], y[k], al)
                 cos = m.cosine(x[k], y[k])
                 if a[k] <= 0 and not d[k] and not p[k]:
-                    # The name alone: all its words must agree, and not all else may differ.
-                    s.append((0.7 if a[k] == 0 else 0.55 if a[k] == -1 and len(x[k].split()) > 2 else 0.2) if fit >= 0.9 else 0.1 * cos)
+                    # The name alone: all its words must agree, it must be too rare to be borne twice by
+                    # chance, the rarer the more if something else differs, and not all else may differ.
+                    chance = min(m.bearers(x[k]), m.bearers(y[k])) if fit >= 0.9 and a[k] >= -1 else 9.0
+                    s.append(0.7 if a[k] == 0 and chance < RARE else 0.55 if a[k] == -1 and chance < RARE / 10 else 0.2 if fit >= 0.9 else 0.1 * cos)
                 elif fit > 0:
                     s.append(min(1.0, 0.45 + 0.3 * fit + 0.15 * cos + 0.1 * (d[k] + p[k])))
                 else:

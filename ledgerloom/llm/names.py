@@ -116,6 +116,16 @@ class Vectors:
             x, y = y, x
         return sum(w * y[f] for f, w in x.items() if f in y)
 
+    def bearers(self, k: str) -> float:
+        """How many bearers of a name chance alone would give: names times the product of its words' shares.
+
+        Initials count as the share their words have on average (one in twenty).
+        """
+        e = float(self.n)
+        for w in k.split():
+            e *= min(1.0, self.df.get(word_feature(w), 1) / self.n) if len(w) > 1 else 0.05
+        return e
+
     def prefix(self, k: str, least: float) -> tuple[list[tuple[int, float]], float]:
         """The heaviest features, as few as leave a rest shorter than least; and that rest's squared length.
 
@@ -172,6 +182,11 @@ class Index:
         return sorted(((self.block[cand[i]], min(1.0, float(s[i]))) for i in good), key=lambda y: (-y[1], y[0]))
 
 
+def word_feature(w: str) -> int:
+    """Number of a whole word beside the features of n-grams, as many of them again."""
+    return FEATURES + _h("w:" + w)
+
+
 def hash_pair(a: int, b: int) -> int:
     """One number below 2^63 of two numbers."""
     x = ((a & 0xFFFFFFFFFFFFFFFF) * 0x9E3779B97F4A7C15 + b * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF
