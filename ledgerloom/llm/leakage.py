@@ -134,7 +134,8 @@ class Passages:
         mask = bytearray(size)
         tried: set[int] = set()
         slack = BUDGET + 1
-        windows, halves = self.windows[k], self.halves[k]
+        windows, halves, width = self.windows[k], self.halves[k], BUDGET + 1
+        todo: list[tuple[int, int]] = []
         last_w, last_j = len(windows) - 1, len(halves) - 1
         for j, ends in by.items():
             for end in ends:
@@ -159,29 +160,34 @@ class Passages:
                     x, y = halves[j + 2]
                     r2 = (x not in around) + (y not in around) if r1 <= BUDGET else 2
                 for w, missing in ((j - 2, l2 + l1), (j - 1, l1 + r1), (j, r1 + r2)):
-                    if missing > BUDGET or w < 0 or w > last_w or near + w in tried:
-                        continue
-                    tried.add(near + w)
-                    a, b, peq = windows[w]
-                    place = zero + a
-                    lo = place - slack if place > slack else 0
-                    region = t[lo : place + b - a + slack]
-                    if place >= 0 and t[place : place + b - a] == s[a:b]:
-                        dist, last = 0, place - lo + b - a - 1
-                    else:
-                        dist, last = myers(b - a, peq, region, BUDGET)
-                    if dist > BUDGET:
-                        continue
-                    mask[a:b] = b"\1" * (b - a)
-                    # Lengthen to the right from the found end, to the left from the expected start.
-                    x, y = b, lo + last + 1
-                    while x < size and y < size_t and s[x] == t[y]:
-                        mask[x] = 1
-                        x, y = x + 1, y + 1
-                    x, y = a - 1, place - 1
-                    while dist == 0 and x >= 0 and y >= 0 and s[x] == t[y]:
-                        mask[x] = 1
-                        x, y = x - 1, y - 1
+                    if missing <= BUDGET and 0 <= w <= last_w and near + w not in tried:
+                        tried.add(near + w)
+                        todo.append((w, zero))
+        # All of these windows, and a piece more at each side of each, may not be enough: then it is no case.
+        may = {w + d for w, _ in todo for d in range(-1, width + 1)}
+        if (len(may) + 1) * q < COVER * size:
+            return 0.0
+        for w, zero in todo:
+            a, b, peq = windows[w]
+            place = zero + a
+            lo = place - slack if place > slack else 0
+            region = t[lo : place + b - a + slack]
+            if place >= 0 and t[place : place + b - a] == s[a:b]:
+                dist, last = 0, place - lo + b - a - 1
+            else:
+                dist, last = myers(b - a, peq, region, BUDGET)
+            if dist > BUDGET:
+                continue
+            mask[a:b] = b"\1" * (b - a)
+            # Lengthen to the right from the found end, to the left from the expected start.
+            x, y = b, lo + last + 1
+            while x < size and y < size_t and s[x] == t[y]:
+                mask[x] = 1
+                x, y = x + 1, y + 1
+            x, y = a - 1, place - 1
+            while dist == 0 and x >= 0 and y >= 0 and s[x] == t[y]:
+                mask[x] = 1
+                x, y = x - 1, y - 1
         return sum(mask) / size
 
 
