@@ -1,49 +1,129 @@
-"""Average-linkage clustering over a relation of compared pairs, by rounds of mutual nearest neighbours."""
+"""Average-linkage clustering over a relation of compared pairs: small components in a task, large ones by rounds."""
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.components import hash_to_min
 from ledgerloom.session import checkpointed
 
+#: Pairs of a component that one task clusters in its memory; components with more are clustered in rounds.
+HELD = 200_000
+#: Decimals to which mean similarities are equal.
+DIGITS = 12
+
+
+def merged(pairs: Iterable[tuple[int, int, float]], least: float) -> dict[int, int]:
+    """node -> smallest node of its cluster, by merging the most similar two clusters again and again."""
+    near: dict[int, dict[int, tuple[float, int]]] = {}
+    for a, b, s in pairs:
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = (s, 1)
+    heap = [(-round(s, DIGITS), a, b, s, 1) for a, to in near.items() for b, (s, _) in to.items() if a < b and s >= least]
+    heapq.heapify(heap)
+    within: dict[int, list[int]] = {}
+    while heap:
+        _, a, b, t, n = heapq.heappop(heap)
+        if near.get(a, {}).get(b) != (t, n):
+            continue
+        within.setdefault(a, [a]).extend(within.pop(b, (b,)))
+        del near[a][b]
+        for c, (u, k) in near.pop(b).items():
+            if c == a:
+                continue
+            del near[c][b]
+            v, m = near[a].get(c, (0.0, 0))
+            near[a][c] = near[c][a] = (t, n) = (u + v, k + m)
+            if round(t / n, DIGITS) >= least:
+                heapq.heappush(heap, (-round(t / n, DIGITS), min(a, c), max(a, c), t, n))
+    return {x: a for a, members in within.items() for x in members}
 
-def average_linkage(pairs: DataFrame, least: float, max_rounds: int = 60) -> DataFrame:
+
+def average_linkage(pairs: DataFrame, least: float, held: int = HELD) -> DataFrame:
     """(node, cluster) for all nodes of pairs (i, j, s) that end up in a cluster of two or more.
 
-    The linkage of two clusters is the mean similarity of the pairs compared between them. Clusters
-    that are each other's nearest merge in the same round, all of them at once; for average linkage
-    this gives the tree that merging one pair at a time would. Ties are settled by the smaller node
-    numbers, so the best pair of all is always mutual and every round makes progress.
+    The linkage of two clusters is the mean similarity of the pairs compared between them. No mean
+    reaches least without a pair that does, so clusters stay within the components of such pairs.
+    A component of up to held compared pairs is clustered in one task, the others by rounds (see
+    by_rounds), each until nothing merges any more. Ties are settled by the smaller node numbers.
 
-    Clusters are never collected: a round is two aggregates and two joins on cluster numbers, cut by
-    a checkpoint. Pairs given twice count once with their best similarity; i = j is left out.
+    Pairs given twice count once with their best similarity; i = j is left out.
     """
     e = pairs.where("i is not null and j is not null and i <> j").groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
-    e = checkpointed(e.agg(F.max("s").alias("t")).withColumn("n", F.lit(1).cast("long")))
+    e = checkpointed(e.agg(F.max("s").alias("t")))
+    part = hash_to_min(e.where(F.col("t") >= least)).select(F.col("record_key").cast("long").alias("v"), F.col("group_key").cast("long").alias("c"))
+    end = lambda x: part.select(F.col("v").alias(x), F.col("c").alias(f"c{x}"))
+    e = checkpointed(e.join(end("a"), "a").join(end("b"), "b").where("ca = cb").select(F.col("ca").alias("c"), "a", "b", "t"))
+    large = checkpointed(e.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > held).select("c"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(group: list[tuple[int, int, float]]) -> pa.RecordBatch:
+            label = merged(group, least)
+            return pa.RecordBatch.from_arrays([pa.array(list(label), pa.int64()), pa.array(list(label.values()), pa.int64())], ["node", "cluster"])
+
+        now, group = None, []
+        for b in batches:
+            for c, *pair in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if c != now and group:
+                    yield out(group)
+                    group = []
+                now = c
+                group.append(tuple(pair))
+        if group:
+            yield out(group)
+
+    small = e.join(large, "c", "left_anti").repartition("c").sortWithinPartitions("c").mapInArrow(run, "node long, cluster long")
+    if large.isEmpty():
+        return small
+    return small.unionByName(by_rounds(e.join(large, "c", "left_semi").select("a", "b", "t"), least))
+
+
+def by_rounds(pairs: DataFrame, least: float) -> DataFrame:
+    """(node, cluster) of pairs (a, b, t) with a < b by rounds of mutual nearest neighbours, as many as it takes.
+
+    Clusters that are each other's nearest merge in the same round, all of them at once; for average
+    linkage this gives the tree that merging one pair at a time would. Nodes tied at the same best
+    similarity merge as a whole where all compared among them have it, so that a star of equals
+    takes one round; else their smallest pair does, so every round makes progress.
+
+    Clusters are never collected: a round is aggregates and joins on cluster numbers, cut by
+    checkpoints.
+    """
+    e = checkpointed(pairs.select("a", "b", "t", F.lit(1).cast("long").alias("n")))
     steps: list[DataFrame] = []
-    for _ in range(max_rounds):
-        mean = (F.col("t") / F.col("n")).alias("m")
-        good = e.select("a", "b", mean).where(F.col("m") >= least)
+    while True:
+        e = e.withColumn("m", F.round(F.col("t") / F.col("n"), DIGITS))
+        good = e.where(F.col("m") >= least)
         rank = F.struct(F.col("m"), (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
         ends = good.select(F.explode(F.array(F.struct(F.col("a").alias("v"), rank.alias("r")), F.struct(F.col("b").alias("v"), rank.alias("r")))).alias("x"))
-        best = ends.select("x.v", "x.r").groupBy("v").agg(F.max("r").alias("r"))
-        merge = best.groupBy("r").agg(F.count(F.lit(1)).alias("k")).where("k = 2")
-        merge = checkpointed(merge.select((-F.col("r.nb")).alias("old"), (-F.col("r.na")).alias("new")))
-        if merge.isEmpty():
+        best = checkpointed(ends.select("x.v", "x.r").groupBy("v").agg(F.max("r").alias("r")))
+        if best.isEmpty():
             break
+        top = lambda x: best.select(F.col("v").alias(x), F.col("r.m").alias(f"m{x}"))
+        tied = good.join(top("a"), "a").join(top("b"), "b").where("m = ma and m = mb").select("a", "b")
+        whole = checkpointed(hash_to_min(tied).select(F.col("record_key").cast("long").alias("v"), F.col("group_key").cast("long").alias("g")))
+        at = lambda x: whole.select(F.col("v").alias(x), F.col("g").alias(f"g{x}"))
+        inside = e.join(at("a"), "a").join(at("b"), "b").where("ga = gb").groupBy(F.col("ga").alias("g")).agg((F.min("m") == F.max("m")).alias("agree"))
+        whole = whole.join(inside.where("agree"), "g", "left_semi")
+        pair = best.join(whole, "v", "left_anti").groupBy("r").agg(F.count(F.lit(1)).alias("k")).where("k = 2")
+        # The smallest node of a group keeps its number.
+        low = whole.groupBy("g").agg(F.min("v").alias("new"))
+        merge = whole.join(low, "g").where("v <> new").select(F.col("v").alias("old"), "new")
+        merge = checkpointed(merge.unionByName(pair.select((-F.col("r.nb")).alias("old"), (-F.col("r.na")).alias("new"))))
         steps.append(merge)
         r = e.join(merge.select(F.col("old").alias("a"), F.col("new").alias("na")), "a", "left").join(merge.select(F.col("old").alias("b"), F.col("new").alias("nb")), "b", "left")
         r = r.select(F.coalesce("na", "a").alias("p"), F.coalesce("nb", "b").alias("q"), "t", "n").where("p <> q")
         e = checkpointed(r.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.sum("t").alias("t"), F.sum("n").alias("n")))
-    else:
-        raise RuntimeError(f"average linkage is not done after {max_rounds} rounds")
     if not steps:
-        return pairs.select(F.col("i").alias("node"), F.col("i").alias("cluster")).limit(0)
+        return pairs.select(F.col("a").alias("node"), F.col("a").alias("cluster")).limit(0)
     # Merges of all rounds, followed backwards: where a round's survivor went in the rounds after it.
     label: DataFrame | None = None
     for merge in reversed(steps):
-        ends = merge.select(F.explode(F.array("old", "new")).alias("node"), F.col("new").alias("to"))
+        ends = merge.select(F.explode(F.array("old", "new")).alias("node"), F.col("new").alias("to")).distinct()
         if label is None:
             label = ends.withColumnRenamed("to", "cluster")
             continue

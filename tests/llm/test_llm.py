@@ -158,6 +158,22 @@ def test_average_linkage_equals_one_at_a_time(spark, seed):
     assert got == slow_linkage(pairs, 0.55)
 
 
+@pytest.mark.parametrize("held", [linkage.HELD, 0])
+def test_average_linkage_of_large_stars_and_ties(spark, held):
+    rnd = random.Random(5)
+    # More leaves than rounds once allowed: a star of equals, and one whose leaves all differ.
+    pairs = [(1, i, 0.9) for i in range(2, 102)]
+    want = {i: 1 for i in range(1, 102)}
+    if held:
+        pairs += [(200, 200 + i, 0.6 + i / 1000) for i in range(1, 101)]
+        want |= {i: 200 for i in range(200, 301)}
+    # Ties that don't agree: 400-401 first, then 402 is too far on average; and random ties over all pairs.
+    pairs += [(400, 401, 0.9), (401, 402, 0.9), (400, 402, 0.0)]
+    ties = [(i, j, rnd.choice([0.2, 0.5, 0.9])) for i in range(500, 509) for j in range(i + 1, 509)]
+    got = dict(map(tuple, linkage.average_linkage(spark.createDataFrame(pairs + ties, "i long, j long, s double"), 0.5, held).collect()))
+    assert got == want | {400: 400, 401: 400} | slow_linkage(ties, 0.5)
+
+
 CONTACT = "id long, name string, address string, demat_no string, contact string, email string, node string"
 
 
