@@ -262,6 +262,16 @@ def test_quoted_holders(spark):
     assert crossmatch.quoted_holders(f.limit(0), r.limit(0), c.limit(0), al).count() == 0
 
 
+def test_second_contact_that_shares_only_the_name(spark):
+    f = spark.createDataFrame([("F1", "Asha Devi Rao", "Flat 5A, Rose Heights, 12 Lake Road, Kothrud, Pune 411001", "IN91000011112222", "x")], "folio_no string, name string, address string, demat_account string, id string")
+    r = spark.createDataFrame([], "id long, inhouse_name string, inhouse_address string, inhouse_demat string")
+    c = [(10, "Asha Devi Rao", "Flat 5A, Rose Heights, 12 Lake Road, Kothrud, Pune 411001", "IN91000011112222", None, None, ""), (11, "Rao, Asha Devi", None, None, None, None, "")]
+    c += [(20 + i, f"Vinod{'abcdefghij'[i]}an Mehta", f"{i} Hill Road Nagpur", None, None, None, "") for i in range(10)]
+    al = spark.createDataFrame([], "alias_name string, given_name string")
+    got = sorted(x["contact_id"] for x in crossmatch.quoted_holders(f, r, spark.createDataFrame(c, CONTACT), al).collect())
+    assert got == [10, 11]
+
+
 # ---- packing (p8) ------------------------------------------------------------------------------
 
 
