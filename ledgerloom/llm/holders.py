@@ -69,7 +69,7 @@ def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = [b.column(i).to_pylist() for i in range(7)]
-            name, keys, has, at = [], [], [], []
+            name, keys, has = [], [], []
             for x, *rest in zip(*v[2:]):
                 k = (names.key(x) or None) if x else None
                 e = evidence(*rest)
@@ -77,13 +77,12 @@ def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
                 name.append(k)
                 keys.append([names.hash_pair(q, names._h(h)) & ~3 | q & 3 for q in e for h in heads])
                 has.append(max([0] + [1 for q in e if q & 3 == 0]) | max([0] + [2 for q in e if q & 3 == 2]))
-                at.append(next((q for q in e if q & 3 == 2), None))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(has, pa.int32()), pa.array(at, pa.int64())],
-                ["node", "row", "name", "keys", "has", "at"],
+                [b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(has, pa.int32())],
+                ["node", "row", "name", "keys", "has"],
             )
 
-    return df.select("node", "row", *c).mapInArrow(run, "node long, row long, name string, keys array<long>, has int, at long")
+    return df.select("node", "row", *c).mapInArrow(run, "node long, row long, name string, keys array<long>, has int")
 
 
 def alias_map(aliases: DataFrame) -> dict[str, frozenset[str]]:
@@ -168,8 +167,7 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     similarity from cosine, agreement of the words (initials, short names, cut or missing words)
     and the other fields; average-linkage clustering of all compared pairs, the contradicting ones
     included, forms the holders, so that two relatives at one address who share an initialled
-    variant stay apart. A name borne at several addresses, or made of words so frequent that chance would repeat
-    it, proves nothing by itself.
+    variant stay apart. A name made of words so frequent that chance would repeat it proves nothing by itself.
 
     Defined results: rows without a name are in no pair; repeated rows count once.
     """
@@ -184,8 +182,8 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     rows, book = checkpointed(rows.where("name is not null")), checkpointed(book.where("name is not null"))
     called = checkpointed(rows.select("node", "name").distinct().unionByName(book.select("node", "name")))
     short = alias_map(aliases)
-    ours, theirs = book.select("name").distinct(), checkpointed(rows.groupBy("name").agg(F.approx_count_distinct("at").alias("places")))
-    v = vectors(ours.unionByName(theirs.select("name")))
+    ours, theirs = book.select("name").distinct(), checkpointed(rows.select("name").distinct())
+    v = vectors(ours.unionByName(theirs))
     spark = lines.sparkSession
     held, held_short = spark.sparkContext.broadcast(v), spark.sparkContext.broadcast(short)
 
@@ -200,9 +198,8 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     n2 = called.select(F.col("node").alias("j"), F.col("name").alias("y"))
     near = checkpointed(near).join(n1, "i").join(n2, "j")
 
-    # Names that are alike by themselves, unless borne at several addresses.
-    few = theirs.where("places <= 2").select("name")
-    alone = name_links(few, ours, v)
+    # Names that are alike by themselves; whether that proves anything is judged below.
+    alone = name_links(theirs, ours, v)
     l = rows.groupBy("node", "name").agg(F.bit_or("has").alias("lh"))
     r = book.select("node", "name", F.col("has").alias("rh"))
     apart = alone.join(l.select(F.col("name").alias("l_name"), F.col("node").alias("i"), "lh"), "l_name").join(r.select(F.col("name").alias("r_name"), F.col("node").alias("j"), "rh"), "r_name")

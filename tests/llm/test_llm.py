@@ -189,6 +189,16 @@ def test_holders_tell_relatives_and_namesakes_apart(spark):
     assert none.count() == 0
 
 
+def test_holder_of_a_rare_name_at_many_addresses(spark):
+    named = lambda i, n, a: (*line(i, f"F{i}", "A")[:4], n, None, a, *line(i, f"F{i}", "A")[7:])
+    rows = [named(i, "Snehlata Qureshikar", f"{i} {street} Road, Pune 41100{i}") for i, street in enumerate(["Lake", "Hill", "Temple", "Garden"], 1)]
+    rows += [named(100 + i, f"{a}{b} {b}{a}kar", f"{i} Market Road, Nagpur 440001") for i, (a, b) in enumerate((a, b) for a in ("Vin", "Ash", "Mee", "Kar", "Rit", "Dol", "Pra", "Sub") for b in ("odan", "aviti", "ramul", "otesh", "unika", "ebrat"))]
+    con = [(10, "Snehlata Qureshikar", None, None, None, None, "c")]
+    al = spark.createDataFrame([], "alias_name string, given_name string")
+    got = sorted(map(tuple, holders.same_holders(spark.createDataFrame(rows, LINE), spark.createDataFrame(con, CONTACT), al).collect()))
+    assert got == [(i, 10) for i in (1, 2, 3, 4)]
+
+
 # ---- addresses (p3) ----------------------------------------------------------------------------
 
 
