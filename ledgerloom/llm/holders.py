@@ -60,9 +60,8 @@ def evidence(address: str | None, demat: str | None, phone: str | None, mail: st
 def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
     """(node, row, name, keys, has): rows with the key of their name (null where there is none).
 
-    keys are numbers of each piece of evidence together with the head of each word of the name:
-    two rows with a common key share something else and begin alike in a word. The lowest two bits
-    keep the kind of evidence. has tells what there is: 1 a demat number, 2 an address.
+    keys are the numbers of the pieces of evidence: two rows with a common key share something
+    beside the name, however their names are spelt. has tells what there is: 1 a demat number, 2 an address.
     """
     c = [F.col(x).cast("string").alias(f"__{i}") for i, x in enumerate(cols)]
 
@@ -73,9 +72,8 @@ def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
             for x, *rest in zip(*v[2:]):
                 k = (names.key(x) or None) if x else None
                 e = evidence(*rest)
-                heads = {w[:4] for w in k.split() if len(w) > 1} if k else ()
                 name.append(k)
-                keys.append([names.hash_pair(q, names._h(h)) & ~3 | q & 3 for q in e for h in heads])
+                keys.append(e if k else [])
                 has.append(max([0] + [1 for q in e if q & 3 == 0]) | max([0] + [2 for q in e if q & 3 == 2]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(has, pa.int32())],
@@ -161,9 +159,9 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     """p2_found: (shareholder_row, contact_id) of rows whose names mean the same person or organisation.
 
     Nodes are accounts (the lines of one folio, whose holder is one) and contacts. Names are
-    compared as weighted character n-gram vectors, in two sparse cosine joins: over all names from
+    compared as weighted character n-gram vectors, in a sparse cosine join over all names from
     a high cosine on, and, where nodes share a demat number, telephone, mail or house and street,
-    over names that begin alike in a word, from any cosine on. Each compared pair gets a
+    from any cosine on: these pairs come from an equi-join on what they share, however the names are spelt. Each compared pair gets a
     similarity from cosine, agreement of the words (initials, short names, cut or missing words)
     and the other fields; average-linkage clustering of all compared pairs, the contradicting ones
     included, forms the holders, so that two relatives at one address who share an initialled
@@ -187,7 +185,7 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     spark = lines.sparkSession
     held, held_short = spark.sparkContext.broadcast(v), spark.sparkContext.broadcast(short)
 
-    # Pairs that share something else and begin alike in a word, one of them at least with a contact.
+    # Pairs that share something beside the name, which a contact has as well.
     mine = book.select("node", F.explode("keys").alias("k")).distinct()
     asked = mine.select("k").distinct()
     k = checkpointed(mine.unionByName(rows.select("node", F.explode("keys").alias("k")).join(asked, "k", "left_semi").select("node", "k").distinct()))

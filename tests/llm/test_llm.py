@@ -199,6 +199,14 @@ def test_holder_of_a_rare_name_at_many_addresses(spark):
     assert got == [(i, 10) for i in (1, 2, 3, 4)]
 
 
+def test_early_slips_in_all_words(spark):
+    row = (*line(1, "F1", "A")[:3], "IN91000011112222", "Snuil Shrama", *line(1, "F1", "A")[5:])
+    al = spark.createDataFrame([], "alias_name string, given_name string")
+    con = [(10, "Sunil Sharma", None, "IN91000011112222", None, None, "c"), (11, "Vinod Mehta", None, None, None, None, "c")]
+    got = holders.same_holders(spark.createDataFrame([row], LINE), spark.createDataFrame(con, CONTACT), al).collect()
+    assert sorted(map(tuple, got)) == [(1, 10)]
+
+
 # ---- addresses (p3) ----------------------------------------------------------------------------
 
 
