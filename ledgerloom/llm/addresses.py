@@ -250,10 +250,16 @@ def same_place(x: tuple, y: tuple, states: frozenset[str] = frozenset(), street_
 
 
 def deletions(word: Column) -> Column:
-    """The word and all it becomes when one letter is left out."""
+    """The word and all it becomes when one letter, or from eight letters on two, are left out."""
+
+    def cut(w: Column) -> Column:
+        n = F.length(w)
+        return F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, n)))
+
     n = F.length(word)
-    cut = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, n)))
-    return F.array_distinct(F.concat(F.array(word), F.when(n >= 4, cut).otherwise(F.array())))
+    one = F.when(n >= 4, cut(word)).otherwise(F.array())
+    two = F.when(n >= 8, F.flatten(F.transform(cut(word), cut))).otherwise(F.array())
+    return F.array_distinct(F.concat(F.array(word), one, two))
 
 
 def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = frozenset()) -> DataFrame:
@@ -263,8 +269,8 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
     Blocks are postcodes. An address without a postcode, or with one that is unusual where it
     stands, is put into the blocks that its street has elsewhere together with one of its
     localities; if the street is not known there, into all blocks of its localities, at last of its street. Within a
-    block, streets are found in a deletion-neighbourhood index over the distinct (block, street)
-    pairs, and addresses are joined on block, street and unit (or, for houses, number), so that
+    block, streets and buildings are found in a deletion-neighbourhood index over the distinct names
+    of all blocks, and addresses are joined on block, street and unit (or, for houses, number), so that
     even a street with a third of all addresses is split by unit and number. Pairs are decided by
     same_place.
     """
@@ -272,10 +278,12 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
     r = right.select("aid", "parts").dropDuplicates(["aid"]).withColumn("side", F.lit("r"))
     both = checkpointed(l.unionByName(r))
     known = F.array(*[F.lit(w) for w in sorted(states)]) if states else F.array().cast("array<string>")
-    street = F.when(part("street") != "", part("street")).otherwise(F.concat(F.lit("b:"), part("building")))
+    # An address stands under its street and its building: either may be left out on the other side.
+    named = F.array(F.when(part("street") != "", part("street")), F.when((part("building") != "") | (part("street") == ""), F.concat(F.lit("b:"), part("building"))))
+    called = F.explode(F.array_compact(named))
     unit, number = part("unit"), part("number")
     key = F.when(unit != "", unit).otherwise(F.concat(F.lit("n"), number))
-    slim = both.select("aid", "side", part("pin").alias("own"), street.alias("name"), F.array_except(F.split(part("rest"), " "), known).alias("words"))
+    slim = both.select("aid", "side", part("pin").alias("own"), called.alias("name"), F.array_except(F.split(part("rest"), " "), known).alias("words"))
     stands = slim.select("aid", "side", "own", "name", F.explode("words").alias("word")).where("word <> ''")
 
     met = checkpointed(stands.where("own <> ''").groupBy("name", "word", "own").agg(F.count(F.lit(1)).alias("n")))
@@ -296,12 +304,16 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
     astray = slim.where("own = ''").join(by_street.select("aid", "side").unionByName(guessed.select("aid", "side")), ["aid", "side"], "left_anti")
     guessed = guessed.unionByName(astray.join(usual(["name"], 400), "name").select("aid", "side", "block"))
     blocks = checkpointed(slim.where("own <> ''").select("aid", "side", F.col("own").alias("block")).unionByName(placed).unionByName(guessed).distinct())
-    a = both.where((unit != "") | (number != "")).select("aid", "side", "parts", street.alias("name"), key.alias("key")).join(blocks, ["aid", "side"])
+    a = both.where((unit != "") | (number != "")).select("aid", "side", "parts", called.alias("name"), key.alias("key")).join(blocks, ["aid", "side"])
     s = slim.select("aid", "side", "name").join(blocks, ["aid", "side"]).select("side", "block", "name").distinct()
-    s = s.withColumn("v", F.explode(deletions(F.col("name"))))
-    sl = s.where("side = 'l'").select("block", "v", F.col("name").alias("l_name"))
-    sr = s.where("side = 'r'").select("block", "v", F.col("name").alias("r_name"))
-    near = checkpointed(sl.join(sr, ["block", "v"]).select("block", "l_name", "r_name").distinct().where("levenshtein(l_name, r_name) <= 2"))
+    # A swap is one edit and counts as two for levenshtein.
+    d = s.select("side", "name").distinct().withColumn("v", F.explode(deletions(F.col("name"))))
+    dl = d.where("side = 'l'").select("v", F.col("name").alias("l_name"))
+    dr = d.where("side = 'r'").select("v", F.col("name").alias("r_name"))
+    spelt = dl.join(dr, "v").select("l_name", "r_name").distinct().where("levenshtein(l_name, r_name) <= 4")
+    sl = s.where("side = 'l'").select("block", F.col("name").alias("l_name"))
+    sr = s.where("side = 'r'").select("block", F.col("name").alias("r_name"))
+    near = checkpointed(sr.join(checkpointed(spelt), "r_name").join(sl, ["block", "l_name"]))
     al = a.where("side = 'l'").select("block", "key", F.col("name").alias("l_name"), F.col("aid").alias("l_aid"), F.col("parts").alias("x"))
     ar = a.where("side = 'r'").select("block", "key", F.col("name").alias("r_name"), F.col("aid").alias("r_aid"), F.col("parts").alias("y"))
     # The side of the contacts is the smaller: it takes the near streets of the other side first.

@@ -234,6 +234,14 @@ def test_addresses_operator(spark):
     assert addresses.same_addresses(spark.createDataFrame([], LINE), spark.createDataFrame([], CONTACT)).count() == 0
 
 
+def test_street_left_out_and_two_slips(spark):
+    a = ["Flat 5A, Rose Heights, Pune 411001", "12 Venkateshpuram Road, Pune 411001", "14 Lake Road, Pune 411001"]
+    rows = [(*line(i, "F", "A")[:6], x, *line(i, "F", "A")[7:]) for i, x in enumerate(a)]
+    con = [(10, "n", "Flat 5A, Rose Heights, 12 Lake Road, Pune 411001", None, None, None, "c"), (11, "n", "12 Vengateshpurom Road, Pune 411001", None, None, None, "c")]
+    got = sorted(map(tuple, addresses.same_addresses(spark.createDataFrame(rows, LINE), spark.createDataFrame(con, CONTACT)).collect()))
+    assert got == [(0, 10), (1, 11)]
+
+
 def test_assignment_is_optimal():
     assert addresses.assignment(["abcd", "abcde"], ["abcd", "abxd"]) == 2
     assert addresses.assignment([], ["a"]) == 0
