@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import names
 from ledgerloom.llm.addresses import fold, parse
+from ledgerloom.llm.components import hash_to_min
 from ledgerloom.llm.linkage import average_linkage
 from ledgerloom.llm.survivors import account_lines
 from ledgerloom.session import checkpointed
@@ -20,9 +21,6 @@ from ledgerloom.session import checkpointed
 #: Most alias rows that are sent to the tasks; the list of short names is a small fixed table, and this is checked.
 ALIAS_BOUND = 200_000
 
-#: Bearers by chance from which a name alone proves nothing.
-RARE = 0.1
-
 _NOT_DIGIT = re.compile(r"\D")
 
 
@@ -58,29 +56,24 @@ def evidence(address: str | None, demat: str | None, phone: str | None, mail: st
 
 
 def described(df: DataFrame, cols: tuple[str, str, str, str, str]) -> DataFrame:
-    """(node, row, name, keys, has): rows with the key of their name (null where there is none).
+    """(node, row, name, keys): rows with the key of their name (null where there is none).
 
-    keys are the numbers of the pieces of evidence: two rows with a common key share something
-    beside the name, however their names are spelt. has tells what there is: 1 a demat number, 2 an address.
+    keys are the numbers of the blocks the row stands in: its pieces of evidence and, kind 3, the
+    triples of whole words of its name.
     """
     c = [F.col(x).cast("string").alias(f"__{i}") for i, x in enumerate(cols)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v = [b.column(i).to_pylist() for i in range(7)]
-            name, keys, has = [], [], []
+            name, keys = [], []
             for x, *rest in zip(*v[2:]):
                 k = (names.key(x) or None) if x else None
-                e = evidence(*rest)
                 name.append(k)
-                keys.append(e if k else [])
-                has.append(max([0] + [1 for q in e if q & 3 == 0]) | max([0] + [2 for q in e if q & 3 == 2]))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(has, pa.int32())],
-                ["node", "row", "name", "keys", "has"],
-            )
+                keys.append(evidence(*rest) + [_number("t", t) | 3 for t in names.triples(k or "")])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(name, pa.string()), pa.array(keys, pa.list_(pa.int64()))], ["node", "row", "name", "keys"])
 
-    return df.select("node", "row", *c).mapInArrow(run, "node long, row long, name string, keys array<long>, has int")
+    return df.select("node", "row", *c).mapInArrow(run, "node long, row long, name string, keys array<long>")
 
 
 def alias_map(aliases: DataFrame) -> dict[str, frozenset[str]]:
@@ -93,8 +86,9 @@ def alias_map(aliases: DataFrame) -> dict[str, frozenset[str]]:
     return {a: frozenset(g) for a, g in out.items()}
 
 
-def vectors(distinct_names: DataFrame) -> names.Vectors:
-    """Document frequencies of the hashed n-grams and words of all names: at most twice names.FEATURES numbers."""
+def vectors(distinct_names: DataFrame, aliases: dict[str, frozenset[str]]) -> names.Vectors:
+    """Document frequencies of the hashed n-grams of all names: at most names.FEATURES numbers."""
+    held = distinct_names.sparkSession.sparkContext.broadcast(aliases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df: Counter[int] = Counter()
@@ -102,135 +96,162 @@ def vectors(distinct_names: DataFrame) -> names.Vectors:
         for b in batches:
             for k in b.column(0).to_pylist():
                 n += 1
-                df.update(names.grams(k).keys())
-                df.update({names.word_feature(w) for w in k.split() if len(w) > 1})
+                df.update(names.grams(k, held.value).keys())
         df[-1] = n
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.int64()), pa.array(list(df.values()), pa.int64())], ["f", "n"])
 
     rows = distinct_names.select("name").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()
     df = {r[0]: r[1] for r in rows}
-    return names.Vectors(df.pop(-1, 0), df)
+    return names.Vectors(df.pop(-1, 0), df, aliases)
+
 
+#: Members of a block that one task joins at once.
+HELD = 2_000
 
-#: Names of the smaller side indexed at once; more are searched in as many blocks as it takes.
-BLOCK = 100_000
 
+def cosine_links(members: DataFrame, v: names.Vectors, held: int = HELD) -> DataFrame:
+    """(i, j): pairs of members (k, node, names) of a block k whose names have a cosine of at least names.LEAST of its kind.
 
-def name_links(left: DataFrame, right: DataFrame, v: names.Vectors, least: float = names.NAME_ALONE) -> DataFrame:
-    """(l_name, r_name, cos): all pairs of distinct names whose n-gram vectors have a cosine of at least least.
+    Sparse cosine join, spread by block: a task lays out a block's vectors as an inverted index of
+    their rarest n-grams (as many as the least cosine needs, so that none is missed) and streams the
+    members past it; only links come out, never candidates. The kind of a block (the lowest two bits
+    of k) is the evidence both share: it sets the least cosine and, at one address, where relatives
+    live, words that contradict each other veto a cosine below names.SURE. The top n of a node
+    are its first n links by cosine; n is unlimited here, as no link may be lost.
 
-    Sparse cosine join: the right side is the stated query set, sent to the tasks in blocks of BLOCK
-    names; each task holds the block's inverted index (names.Index) and streams its share of the
-    left side past it. Candidates live in one row's accumulator only, so nothing but the result is
-    written or shuffled, and a gram that all names share costs no more than its postings. No cap on
-    partners; the top n are the first n by cos.
+    Blocks with more than held members are joined with the same result by block and n-gram, in parts
+    of held members; their members of equal names are linked to one of them, not to each other.
     """
-    spark = left.sparkSession
-    held = spark.sparkContext.broadcast(v)
-
-    def search(block: list[str]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = names.Index(sent.value, held.value, least)
-            for b in batches:
-                x, y, c = [], [], []
-                for name in b.column(0).to_pylist():
-                    for other, cos in index.search(name):
-                        x.append(name)
-                        y.append(other)
-                        c.append(cos)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(y, pa.string()), pa.array(c, pa.float64())], ["l_name", "r_name", "cos"])
-
-        return left.select("name").mapInArrow(run, "l_name string, r_name string, cos double")
-
-    out, block = None, []
-    for row in right.select("name").distinct().toLocalIterator():
-        block.append(row[0])
-        if len(block) >= BLOCK:
-            out = search(block) if out is None else out.unionByName(search(block))
-            block = []
-    if block or out is None:
-        out = search(block) if out is None else out.unionByName(search(block))
-    return out
+    sent = members.sparkSession.sparkContext.broadcast(v)
+    plain = ("k", "f", "p", "q", "own", "node", "names")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        i, j = [], []
+
+        def link(k: int, a: list[str], b: list[str], x: dict[int, float], y: dict[int, float]) -> bool:
+            c = names.dot(x, y)
+            if c < names.LEAST[k & 3]:
+                return False
+            return k & 3 != 2 or c >= names.SURE or any(names.compatible(p, q, m.aliases) > 0 for p in a for q in b)
+
+        def out(now: tuple, group: list[tuple[int, int, list[str]]]) -> None:
+            k, f, p, q = now
+            least = names.LEAST[k & 3]
+            same: dict[tuple, tuple[int, int, list[str]]] = {}
+            for own, node, ns in group:
+                first = same.setdefault((own, *ns), (own, node, ns))
+                if first[1] != node and f < 0:
+                    x = m.mean(ns)
+                    if link(k, ns, ns, x, x):
+                        i.append(first[1])
+                        j.append(node)
+            post: dict[int, list[tuple]] = {}
+            if len(same) < 2:
+                return
+            for own, node, ns in same.values():
+                x = m.mean(ns)
+                head = m.prefix(x, least)
+                met: set[int] = set()
+                for g in head if f < 0 else [f]:
+                    for other in post.get(g, ()):
+                        if other[1] not in met and (p == q or other[0] != own):
+                            met.add(other[1])
+                            # Of a hot block a pair is judged under its first common n-gram only.
+                            if (f < 0 or next(h for h in head if h in other[4]) == f) and link(k, ns, other[2], x, other[3]):
+                                i.append(other[1])
+                                j.append(node)
+                entry = (own, node, ns, x, set(head))
+                for g in head if f < 0 else [f]:
+                    post.setdefault(g, []).append(entry)
+
+        now, group = None, []
+        for b in batches:
+            for k, f, p, q, *rest in zip(*(b.column(c).to_pylist() for c in range(7))):
+                if (k, f, p, q) != now:
+                    if len(group) > 1:
+                        out(now, group)
+                    now, group = (k, f, p, q), []
+                group.append(tuple(rest))
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64())], ["i", "j"])
+            i.clear()
+            j.clear()
+        if len(group) > 1:
+            out(now, group)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64())], ["i", "j"])
+
+    zero = [F.lit(0).alias(c) for c in ("p", "q", "own")]
+    hot = checkpointed(members.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > held).select("k"))
+    joined = lambda df: df.select(*plain).repartition("k", "f", "p", "q").sortWithinPartitions("k", "f", "p", "q", "node").mapInArrow(run, "i long, j long")
+    if hot.isEmpty():
+        return joined(members.select("k", F.lit(-1).cast("long").alias("f"), *zero, "node", "names"))
+    few = members.join(hot, "k", "left_anti").select("k", F.lit(-1).cast("long").alias("f"), *zero, "node", "names")
+    many = members.join(hot, "k", "left_semi")
+    one = checkpointed(many.groupBy("k", "names").agg(F.min("node").alias("one")))
+
+    def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for b in batches:
+            f = [m.prefix(m.mean(ns), names.LEAST[k & 3]) for k, ns in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(f, pa.list_(pa.int64()))], ["k", "node", "names", "fs"])
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for b in batches:
+            keep = []
+            for k, ns in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                x = m.mean(ns)
+                keep.append(names.dot(x, x) >= names.LEAST[k & 3])
+            yield b.select(["i", "j"]).filter(pa.array(keep, pa.bool_()))
+
+    grams = one.select("k", F.col("one").alias("node"), "names").mapInArrow(prefixed, "k long, node long, names array<string>, fs array<long>")
+    grams = checkpointed(grams.select("k", F.explode("fs").alias("f"), "node", "names"))
+    parts = grams.groupBy("k", "f").agg(F.ceil(F.count(F.lit(1)) / held).cast("int").alias("n")).where(F.col("n") >= 1)
+    cut = grams.join(parts, ["k", "f"]).withColumn("own", F.pmod(F.xxhash64("node"), "n").cast("int"))
+    cut = cut.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("k", "f", F.least("own", "x").alias("p"), F.greatest("own", "x").alias("q"), "own", "node", "names")
+    star = many.join(one, ["k", "names"]).where("node <> one").select(F.col("one").alias("i"), F.col("node").alias("j"), "k", "names").mapInArrow(alike, "i long, j long")
+    return joined(few).unionByName(joined(cut)).unionByName(star)
 
 
 def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> DataFrame:
     """p2_found: (shareholder_row, contact_id) of rows whose names mean the same person or organisation.
 
-    Nodes are accounts (the lines of one folio, whose holder is one) and contacts. Names are
-    compared as weighted character n-gram vectors, in a sparse cosine join over all names from
-    a high cosine on, and, where nodes share a demat number, telephone, mail or house and street,
-    from any cosine on: these pairs come from an equi-join on what they share, however the names are spelt. Each compared pair gets a
-    similarity from cosine, agreement of the words (initials, short names, cut or missing words)
-    and the other fields; average-linkage clustering of all compared pairs, the contradicting ones
-    included, forms the holders, so that two relatives at one address who share an initialled
-    variant stay apart. A name made of words so frequent that chance would repeat it proves nothing by itself.
+    Nodes are accounts (the lines of one folio, whose holder is one) and contacts, with the mean of
+    the character n-gram vectors of their spellings. A sparse cosine join in blocks (cosine_links)
+    links them: at a low cosine where a demat number, telephone or mail is shared, so that initials
+    and short names are found, at a higher one at the same house or flat, and at a high one where
+    only the name speaks, in blocks of three whole words. Inside a connected group
+    average-linkage clustering by all pairs of names, compared in a block or not, forms the
+    holders, so that relatives who share an initialled spelling stay apart. No rule depends
+    on the size of the tables.
+
+    Of an account its different spellings are held together in one task, not its lines.
 
-    Defined results: rows without a name are in no pair; repeated rows count once.
+    Defined results: rows without a name are in no pair, but their other fields tell their account;
+    repeated rows count once; columns but the needed ones are ignored.
     """
     need = ["id", "folio_no", "company_name", "demat_account", "full_name", "address", "mobile_number", "email_id"]
     # City and postcode columns, where there are any, are part of a line's address.
     more = [c for c in ("city", "pincode") if c in lines.columns]
     src = lines.where("id is not null").select(*[c for c in need if c != "address"], F.when(F.col("address").isNotNull(), F.concat_ws(", ", "address", *more)).alias("address"))
+    # The last bit of a node tells accounts (1) from contacts (0).
     acc = account_lines(src).withColumn("node", F.xxhash64("__co", "__acct").bitwiseOR(F.lit(1)))
     con = contacts.where("id is not null and name is not null").withColumn("node", F.xxhash64(F.lit("contact"), "id").bitwiseAND(F.lit(-2)))
     rows = described(acc.withColumn("row", F.col("id")), ("full_name", "address", "demat_account", "mobile_number", "email_id"))
-    book = described(con.withColumn("row", F.col("id")), ("name", "address", "demat_no", "contact", "email"))
-    rows, book = checkpointed(rows.where("name is not null")), checkpointed(book.where("name is not null"))
-    called = checkpointed(rows.select("node", "name").distinct().unionByName(book.select("node", "name")))
+    rows = rows.unionByName(described(con.withColumn("row", F.col("id")), ("name", "address", "demat_no", "contact", "email")))
+    rows = checkpointed(rows)
     short = alias_map(aliases)
-    ours, theirs = book.select("name").distinct(), checkpointed(rows.select("name").distinct())
-    v = vectors(ours.unionByName(theirs))
-    spark = lines.sparkSession
-    held, held_short = spark.sparkContext.broadcast(v), spark.sparkContext.broadcast(short)
-
-    # Pairs that share something beside the name, which a contact has as well.
-    mine = book.select("node", F.explode("keys").alias("k")).distinct()
-    asked = mine.select("k").distinct()
-    k = checkpointed(mine.unionByName(rows.select("node", F.explode("keys").alias("k")).join(asked, "k", "left_semi").select("node", "k").distinct()))
-    both = k.select(F.col("node").alias("i"), "k").join(k.select(F.col("node").alias("j"), "k"), "k").where("i < j")
-    kinds = lambda n: F.max((F.col("k").bitwiseAND(F.lit(3)) == n).cast("int"))
-    near = both.groupBy("i", "j").agg(kinds(0).alias("d"), kinds(1).alias("p"), kinds(2).alias("a"))
-    n1 = called.select(F.col("node").alias("i"), F.col("name").alias("x"))
-    n2 = called.select(F.col("node").alias("j"), F.col("name").alias("y"))
-    near = checkpointed(near).join(n1, "i").join(n2, "j")
-
-    # Names that are alike by themselves; whether that proves anything is judged below.
-    alone = name_links(theirs, ours, v)
-    l = rows.groupBy("node", "name").agg(F.bit_or("has").alias("lh"))
-    r = book.select("node", "name", F.col("has").alias("rh"))
-    apart = alone.join(l.select(F.col("name").alias("l_name"), F.col("node").alias("i"), "lh"), "l_name").join(r.select(F.col("name").alias("r_name"), F.col("node").alias("j"), "rh"), "r_name")
-    # What both have and yet do not share speaks against them.
-    against = -(F.col("lh").bitwiseAND(F.col("rh")).bitwiseAND(F.lit(1))) - F.col("lh").bitwiseAND(F.col("rh")).bitwiseAND(F.lit(2)) / 2
-    apart = apart.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), F.lit(0).alias("d"), F.lit(0).alias("p"), against.cast("int").alias("a"), F.col("l_name").alias("x"), F.col("r_name").alias("y"))
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, al = held.value, held_short.value
-        for b in batches:
-            d, p, a = (b.column(i).to_pylist() for i in (2, 3, 4))
-            x, y = b.column(5).to_pylist(), b.column(6).to_pylist()
-            s = []
-            for k in range(b.num_rows):
-                fit = names.compatible(x[k], y[k], al)
-                cos = m.cosine(x[k], y[k])
-                if a[k] <= 0 and not d[k] and not p[k]:
-                    # The name alone: all its words must agree, it must be too rare to be borne twice by
-                    # chance, the rarer the more if something else differs, and not all else may differ.
-                    chance = min(m.bearers(x[k]), m.bearers(y[k])) if fit >= 0.9 and a[k] >= -1 else 9.0
-                    s.append(0.7 if a[k] == 0 and chance < RARE else 0.55 if a[k] == -1 and chance < RARE / 10 else 0.2 if fit >= 0.9 else 0.1 * cos)
-                elif fit > 0:
-                    s.append(min(1.0, 0.45 + 0.3 * fit + 0.15 * cos + 0.1 * (d[k] + p[k])))
-                else:
-                    s.append(0.2 * cos + 0.15 * (d[k] + p[k]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], ["i", "j", "s"])
-
-    cols = ["i", "j", "d", "p", "a", "x", "y"]
-    # Plans are cut into small ones: each part of the pairs is judged and written by itself.
-    judged = [checkpointed(df.select(*cols).mapInArrow(judge, "i long, j long, s double")) for df in (near, apart)]
-    scored = judged[0].unionByName(judged[1])
-    label = average_linkage(scored, names.MERGE)
+    v = vectors(rows.where("name is not null").select("name").distinct(), short)
+    nodes = checkpointed(rows.where("name is not null").groupBy("node").agg(F.sort_array(F.collect_set("name")).alias("names")))
+    members = rows.select("node", F.explode("keys").alias("k")).distinct().join(nodes, "node")
+    links = checkpointed(cosine_links(members, v).distinct())
+    group = checkpointed(hash_to_min(links, "i", "j").select(F.col("record_key").cast("long").alias("node"), F.col("group_key").cast("long").alias("c")))
+    side = F.col("node").bitwiseAND(F.lit(1))
+    mixed = group.groupBy("c").agg(F.min(side).alias("low"), F.max(side).alias("high")).where("low < high").select("c")
+    sent = lines.sparkSession.sparkContext.broadcast(v)
+    label = average_linkage(group.join(mixed, "c", "left_semi").join(nodes, "node"), lambda ns: sent.value.mean(ns), names.MERGE)
     label = checkpointed(label)
-    have = rows.select("node", F.col("row").alias("shareholder_row")).join(label, "node").select("cluster", "shareholder_row")
-    want = book.select("node", F.col("row").alias("contact_id")).join(label, "node").select("cluster", "contact_id")
+    named = rows.where("name is not null").select("node", "row").distinct().join(label, "node")
+    have = named.where(side == 1).select("cluster", F.col("row").alias("shareholder_row"))
+    want = named.where(side == 0).select("cluster", F.col("row").alias("contact_id"))
     return have.join(want, "cluster").select("shareholder_row", "contact_id").distinct()

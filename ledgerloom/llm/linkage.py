@@ -1,133 +1,173 @@
-"""Average-linkage clustering over a relation of compared pairs: small components in a task, large ones by rounds."""
+"""Average-linkage clustering of vectors: the mean of all cosines between two groups is the dot product of their mean vectors."""
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import hash_to_min
 from ledgerloom.session import checkpointed
 
-#: Pairs of a component that one task clusters in its memory; components with more are clustered in rounds.
-HELD = 200_000
-#: Decimals to which mean similarities are equal.
-DIGITS = 12
-
-
-def merged(pairs: Iterable[tuple[int, int, float]], least: float) -> dict[int, int]:
-    """node -> smallest node of its cluster, by merging the most similar two clusters again and again."""
-    near: dict[int, dict[int, tuple[float, int]]] = {}
-    for a, b, s in pairs:
-        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = (s, 1)
-    heap = [(-round(s, DIGITS), a, b, s, 1) for a, to in near.items() for b, (s, _) in to.items() if a < b and s >= least]
-    heapq.heapify(heap)
-    within: dict[int, list[int]] = {}
-    while heap:
-        _, a, b, t, n = heapq.heappop(heap)
-        if near.get(a, {}).get(b) != (t, n):
-            continue
-        within.setdefault(a, [a]).extend(within.pop(b, (b,)))
-        del near[a][b]
-        for c, (u, k) in near.pop(b).items():
-            if c == a:
-                continue
-            del near[c][b]
-            v, m = near[a].get(c, (0.0, 0))
-            near[a][c] = near[c][a] = (t, n) = (u + v, k + m)
-            if round(t / n, DIGITS) >= least:
-                heapq.heappush(heap, (-round(t / n, DIGITS), min(a, c), max(a, c), t, n))
-    return {x: a for a, members in within.items() for x in members}
-
-
-def average_linkage(pairs: DataFrame, least: float, held: int = HELD) -> DataFrame:
-    """(node, cluster) for all nodes of pairs (i, j, s) that end up in a cluster of two or more.
-
-    The linkage of two clusters is the mean similarity of the pairs compared between them. No mean
-    reaches least without a pair that does, so clusters stay within the components of such pairs.
-    A component of up to held compared pairs is clustered in one task, the others by rounds (see
-    by_rounds), each until nothing merges any more. Ties are settled by the smaller node numbers.
-
-    Pairs given twice count once with their best similarity; i = j is left out.
+#: Vectors of a group that one task clusters, or compares, at once.
+HELD = 1_000
+#: Decimals to which similarities are equal.
+DIGITS = 9
+
+
+def _dense(vectors: list[dict[int, float]]) -> np.ndarray:
+    """Rows of vectors over the features they have."""
+    at: dict[int, int] = {}
+    rows, cols, w = [], [], []
+    for i, v in enumerate(vectors):
+        for f, x in v.items():
+            rows.append(i)
+            cols.append(at.setdefault(f, len(at)))
+            w.append(x)
+    x = np.zeros((len(vectors), max(len(at), 1)))
+    x[rows, cols] = w
+    return x
+
+
+def merged(vectors: list[dict[int, float]], sizes: list[int], least: float) -> list[int]:
+    """For each vector the first member of its cluster; a vector stands for as many equal nodes as its size.
+
+    Average linkage over all pairs: clusters that are each other's nearest merge in rounds, which for
+    this linkage gives the tree that merging the nearest pair again and again would. Ties go to
+    the pair that comes first.
     """
-    e = pairs.where("i is not null and j is not null and i <> j").groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
-    e = checkpointed(e.agg(F.max("s").alias("t")))
-    part = hash_to_min(e.where(F.col("t") >= least)).select(F.col("record_key").cast("long").alias("v"), F.col("group_key").cast("long").alias("c"))
-    end = lambda x: part.select(F.col("v").alias(x), F.col("c").alias(f"c{x}"))
-    e = checkpointed(e.join(end("a"), "a").join(end("b"), "b").where("ca = cb").select(F.col("ca").alias("c"), "a", "b", "t"))
-    large = checkpointed(e.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > held).select("c"))
+    label = np.arange(len(vectors))
+    size = np.array(sizes, float)
+    x = _dense(vectors) * size[:, None]
+    d, live = x @ x.T, label.copy()
+    while len(live) > 1:
+        s = np.round(d / np.outer(size, size), DIGITS)
+        np.fill_diagonal(s, -np.inf)
+        near = s.argmax(axis=1)
+        pos = np.arange(len(live))
+        pair = np.flatnonzero((near[near] == pos) & (pos < near) & (s[pos, near] >= least))
+        if not len(pair):
+            break
+        other = near[pair]
+        for a, b in zip(live[pair], live[other]):
+            label[label == b] = a
+        d[pair] += d[other]
+        d[:, pair] += d[:, other]
+        size[pair] += size[other]
+        keep = np.setdiff1d(pos, other)
+        live, d, size = live[keep], d[np.ix_(keep, keep)], size[keep]
+    return label.tolist()
+
+
+def average_linkage(nodes: DataFrame, vector: Callable[[list[str]], dict[int, float]], least: float, held: int = HELD) -> DataFrame:
+    """(node, cluster) of nodes (c, node, names): clusters within each group c of nodes, named by one of their nodes.
+
+    vector makes the vector of a node from its names. The linkage of two clusters is the mean of the
+    dot products of all pairs between them, whether anybody compared them before or not. Nodes with
+    equal names begin as one cluster, so a group's cost depends on its different spellings only. A
+    group of up to held of these is clustered in one task, a larger one by rounds over the tasks
+    (by_rounds), with the same result.
+
+    Defined results: a node alone is a cluster of its own; a node given twice in a group counts
+    once; a node without names is like no other.
+    """
+    nodes = checkpointed(nodes.select("c", "node", "names").dropDuplicates(["c", "node"]))
+    leaf = checkpointed(nodes.groupBy("c", "names").agg(F.min("node").alias("leaf"), F.count(F.lit(1)).alias("n")))
+    large = checkpointed(leaf.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > held).select("c"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(group: list[tuple[int, int, float]]) -> pa.RecordBatch:
-            label = merged(group, least)
-            return pa.RecordBatch.from_arrays([pa.array(list(label), pa.int64()), pa.array(list(label.values()), pa.int64())], ["node", "cluster"])
+        def out(group: list[tuple[int, int, list[str]]]) -> tuple[list[int], list[int]]:
+            ids = [x for x, _, _ in group]
+            return ids, [ids[i] for i in merged([vector(v) for _, _, v in group], [n for _, n, _ in group], least)] if len(ids) > 1 else ids
 
         now, group = None, []
         for b in batches:
-            for c, *pair in zip(*(b.column(i).to_pylist() for i in range(4))):
+            node, cluster = [], []
+            for c, *rest in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if c != now and group:
-                    yield out(group)
+                    x, y = out(group)
+                    node += x
+                    cluster += y
                     group = []
                 now = c
-                group.append(tuple(pair))
+                group.append(tuple(rest))
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(cluster, pa.int64())], ["leaf", "cluster"])
         if group:
-            yield out(group)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out(group)], ["leaf", "cluster"])
 
-    small = e.join(large, "c", "left_anti").repartition("c").sortWithinPartitions("c").mapInArrow(run, "node long, cluster long")
-    if large.isEmpty():
-        return small
-    return small.unionByName(by_rounds(e.join(large, "c", "left_semi").select("a", "b", "t"), least))
+    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_pylist()
+            v = [vector(x) for x in b.column(3).to_pylist()]
+            f, w = pa.array([list(x) for x in v], pa.list_(pa.int64())), pa.array([[y * k for y in x.values()] for x, k in zip(v, n)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), f, w], ["c", "node", "n", "f", "w"])
 
+    leaf_rows = leaf.select("c", "leaf", "n", "names")
+    if large.isEmpty():
+        found = leaf_rows.repartition("c").sortWithinPartitions("c", "leaf").mapInArrow(run, "leaf long, cluster long")
+    else:
+        small = leaf_rows.join(large, "c", "left_anti").repartition("c").sortWithinPartitions("c", "leaf").mapInArrow(run, "leaf long, cluster long")
+        sums = leaf_rows.join(large, "c", "left_semi").mapInArrow(weighted, "c long, node long, n long, f array<long>, w array<double>")
+        found = small.unionByName(by_rounds(sums, least, held).withColumnRenamed("node", "leaf"))
+    return nodes.join(leaf, ["c", "names"]).select("node", "leaf").join(checkpointed(found), "leaf").select("node", "cluster")
 
-def by_rounds(pairs: DataFrame, least: float) -> DataFrame:
-    """(node, cluster) of pairs (a, b, t) with a < b by rounds of mutual nearest neighbours, as many as it takes.
 
-    Clusters that are each other's nearest merge in the same round, all of them at once; for average
-    linkage this gives the tree that merging one pair at a time would. Nodes tied at the same best
-    similarity merge as a whole where all compared among them have it, so that a star of equals
-    takes one round; else their smallest pair does, so every round makes progress.
+def by_rounds(nodes: DataFrame, least: float, held: int = HELD) -> DataFrame:
+    """average_linkage of sum vectors (c, node, n, f, w) in large groups: rounds of mutual nearest clusters, as many as it takes.
 
-    Clusters are never collected: a round is aggregates and joins on cluster numbers, cut by
-    checkpoints.
+    A round compares the sum vectors of a group's clusters in blocks of about held times held; a
+    task puts out the nearest of each cluster only, so no pair but these is ever written. Clusters
+    are never collected; each round is cut by checkpoints.
     """
-    e = checkpointed(pairs.select("a", "b", "t", F.lit(1).cast("long").alias("n")))
-    steps: list[DataFrame] = []
+    cl = checkpointed(nodes.select("c", "node", "f", "w", "n"))
+    label = checkpointed(cl.select("c", "node", F.col("node").alias("cluster")))
     while True:
-        e = e.withColumn("m", F.round(F.col("t") / F.col("n"), DIGITS))
-        good = e.where(F.col("m") >= least)
-        rank = F.struct(F.col("m"), (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
-        ends = good.select(F.explode(F.array(F.struct(F.col("a").alias("v"), rank.alias("r")), F.struct(F.col("b").alias("v"), rank.alias("r")))).alias("x"))
-        best = checkpointed(ends.select("x.v", "x.r").groupBy("v").agg(F.max("r").alias("r")))
-        if best.isEmpty():
-            break
-        top = lambda x: best.select(F.col("v").alias(x), F.col("r.m").alias(f"m{x}"))
-        tied = good.join(top("a"), "a").join(top("b"), "b").where("m = ma and m = mb").select("a", "b")
-        whole = checkpointed(hash_to_min(tied).select(F.col("record_key").cast("long").alias("v"), F.col("group_key").cast("long").alias("g")))
-        at = lambda x: whole.select(F.col("v").alias(x), F.col("g").alias(f"g{x}"))
-        inside = e.join(at("a"), "a").join(at("b"), "b").where("ga = gb").groupBy(F.col("ga").alias("g")).agg((F.min("m") == F.max("m")).alias("agree"))
-        whole = whole.join(inside.where("agree"), "g", "left_semi")
-        pair = best.join(whole, "v", "left_anti").groupBy("r").agg(F.count(F.lit(1)).alias("k")).where("k = 2")
-        # The smallest node of a group keeps its number.
-        low = whole.groupBy("g").agg(F.min("v").alias("new"))
-        merge = whole.join(low, "g").where("v <> new").select(F.col("v").alias("old"), "new")
-        merge = checkpointed(merge.unionByName(pair.select((-F.col("r.nb")).alias("old"), (-F.col("r.na")).alias("new"))))
-        steps.append(merge)
-        r = e.join(merge.select(F.col("old").alias("a"), F.col("new").alias("na")), "a", "left").join(merge.select(F.col("old").alias("b"), F.col("new").alias("nb")), "b", "left")
-        r = r.select(F.coalesce("na", "a").alias("p"), F.coalesce("nb", "b").alias("q"), "t", "n").where("p <> q")
-        e = checkpointed(r.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.sum("t").alias("t"), F.sum("n").alias("n")))
-    if not steps:
-        return pairs.select(F.col("a").alias("node"), F.col("a").alias("cluster")).limit(0)
-    # Merges of all rounds, followed backwards: where a round's survivor went in the rounds after it.
-    label: DataFrame | None = None
-    for merge in reversed(steps):
-        ends = merge.select(F.explode(F.array("old", "new")).alias("node"), F.col("new").alias("to")).distinct()
-        if label is None:
-            label = ends.withColumnRenamed("to", "cluster")
-            continue
-        later = label.select(F.col("node").alias("to"), F.col("cluster").alias("__c"))
-        moved = ends.join(later, "to", "left").select("node", F.coalesce("__c", "to").alias("cluster"))
-        label = checkpointed(moved.unionByName(label.join(ends.select("node"), "node", "left_anti")))
-    return label
+        k = cl.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / held).cast("int").alias("k"))
+        part = cl.join(k, "c").withColumn("own", F.pmod(F.xxhash64("node"), "k").cast("int"))
+        each = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
+        rows = part.withColumn("x", each).select("c", F.col("own").alias("p"), F.col("x").alias("q"), F.lit(0).alias("side"), "node", "f", "w", "n")
+        cols = part.withColumn("x", each).select("c", F.col("x").alias("p"), F.col("own").alias("q"), F.lit(1).alias("side"), "node", "f", "w", "n")
+
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def out(group: list[tuple]) -> pa.RecordBatch:
+                x = _dense([dict(zip(f, w)) for _, _, f, w, _ in group])
+                side = np.array([g[0] for g in group])
+                ids, n = np.array([g[1] for g in group], np.int64), np.array([g[4] for g in group], float)
+                left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+                if not len(left) or not len(right):
+                    return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())], ["a", "b", "s"])
+                s = np.round(x[left] @ x[right].T / np.outer(n[left], n[right]), DIGITS)
+                s[ids[left][:, None] == ids[right][None, :]] = -np.inf
+                best = s.argmax(axis=1)
+                ok = np.flatnonzero(s[np.arange(len(left)), best] >= least)
+                return pa.RecordBatch.from_arrays([pa.array(ids[left][ok]), pa.array(ids[right][best[ok]]), pa.array(s[ok, best[ok]])], ["a", "b", "s"])
+
+            now, group = None, []
+            for b in batches:
+                for c, p, q, *rest in zip(*(b.column(i).to_pylist() for i in range(8))):
+                    if (c, p, q) != now and group:
+                        yield out(group)
+                        group = []
+                    now = (c, p, q)
+                    group.append(tuple(rest))
+            if group:
+                yield out(group)
+
+        found = rows.unionByName(cols).repartition("c", "p", "q").sortWithinPartitions("c", "p", "q", "side", "node").mapInArrow(nearest, "a long, b long, s double")
+        best = checkpointed(found.groupBy("a").agg(F.max(F.struct("s", (-F.col("b")).alias("nb"))).alias("r")).select("a", (-F.col("r.nb")).alias("b")))
+        pair = best.join(best.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"]).where("a < b")
+        pair = checkpointed(pair.select(F.col("b").alias("old"), F.col("a").alias("new")))
+        if pair.isEmpty():
+            return label.select("node", "cluster")
+        to = lambda x: F.coalesce("new", x)
+        label = checkpointed(label.join(pair, label["cluster"] == pair["old"], "left").select("c", "node", to("cluster").alias("cluster")))
+        moved = cl.join(pair, cl["node"] == pair["old"], "left").select("c", to("node").alias("node"), "f", "w", "n", (F.col("old").isNotNull() | F.lit(False)).alias("gone"))
+        touched = moved.where("gone").select("node").distinct()
+        same = cl.join(pair, cl["node"] == pair["old"], "left_anti").join(touched, "node", "left_anti").select("c", "node", "f", "w", "n")
+        grown = moved.join(touched, "node", "left_semi")
+        n = grown.groupBy("c", "node").agg(F.sum("n").alias("n"))
+        w = grown.select("c", "node", F.explode(F.arrays_zip("f", "w")).alias("e")).groupBy("c", "node", F.col("e.f").alias("f")).agg(F.sum("e.w").alias("w"))
+        w = w.groupBy("c", "node").agg(F.collect_list(F.struct("f", "w")).alias("e")).select("c", "node", F.col("e.f").alias("f"), F.col("e.w").alias("w"))
+        cl = checkpointed(same.unionByName(w.join(n, ["c", "node"]).select("c", "node", "f", "w", "n")))

@@ -7,8 +7,6 @@ import re
 from collections import Counter
 from functools import lru_cache
 
-import numpy as np
-
 from ledgerloom.llm.addresses import fold, within
 
 # Words that are no part of a name, and legal forms and trades with their short forms.
@@ -28,7 +26,7 @@ ORGANISATION = {
 #: Words by which "n" between two words is known to be "and".
 _LONG = (ORGANISATION | set(FORMS)) - {"n", "co"}
 #: Length of the n-grams, and the number of hashed features (which bounds the weights sent to the tasks).
-GRAM, FEATURES = 4, 1 << 18
+GRAM, FEATURES = 2, 1 << 18
 
 _WORD = re.compile(r"[^\W\d_]+", re.U)
 _BRACKET = re.compile(r"\([^)]*\)|-\s*first holder", re.I)
@@ -57,19 +55,29 @@ def key(name: str) -> str:
     return " ".join(sorted(words(name)[0]))
 
 
-def grams(k: str) -> Counter[int]:
-    """Hashed character n-grams of a key, with word ends, words apart."""
+def grams(k: str, aliases: dict[str, frozenset[str]]) -> Counter[int]:
+    """Hashed character n-grams of a key's words with their ends; of an initial, its beginning only.
+
+    A short name also has the n-grams of the names it is short for, weighted less the more these are.
+    """
     c: Counter[int] = Counter()
     for w in k.split():
-        p = f"^{w}$"
-        if len(p) <= GRAM:
-            c[_h(p)] += 1
-        else:
-            for i in range(len(p) - GRAM + 1):
-                c[_h(p[i : i + GRAM])] += 1
+        c.update(_word_grams(w))
+    for w in k.split():
+        given = aliases.get(w, ()) if len(w) > 1 else ()
+        for g in given:
+            for f, n in _word_grams(g).items():
+                if f not in c:
+                    c[f] = n / math.sqrt(len(given))
     return c
 
 
+@lru_cache(maxsize=100_000)
+def _word_grams(w: str) -> Counter[int]:
+    p = f"^{w}$" if len(w) > 1 else f"^{w}"
+    return Counter([_h(p[i : i + GRAM]) for i in range(len(p) - GRAM + 1)])
+
+
 @lru_cache(maxsize=1_000_000)
 def _h(s: str) -> int:
     h = 2166136261
@@ -78,127 +86,87 @@ def _h(s: str) -> int:
     return h % FEATURES
 
 
-# ---- n-gram vectors and the sparse cosine join ------------------------------------------------
-
-#: Cosine from which two names alone may mean the same; below, other fields must point to each other too.
-NAME_ALONE = 0.8
-#: Mean similarity from which two groups are merged.
-MERGE = 0.5
+#: Cosine from which two names alone may mean the same; three whole words must be equal too.
+NAME_ALONE = 0.85
+#: Least cosine of names that share a demat number, a telephone or mail, a house with street and place, three whole words.
+LEAST = (0.4, 0.4, 0.5, NAME_ALONE)
+#: Cosine from which names at one address need no agreement word by word.
+SURE = 0.8
+#: Weight of an n-gram that all names have.
+BASE = 2.0
+#: Mean cosine from which two groups are merged.
+MERGE = 0.45
+#: Words without an equal partner from which on two names are no variants of each other.
+LOOSE = 8
 
 
 class Vectors:
-    """Weighted n-gram vectors: inverse document frequencies of hashed features, a fixed number of them."""
+    """n-gram vectors of unit length, weighted by the inverse document frequency of hashed features, a fixed number of them."""
 
-    def __init__(self, n: int, df: dict[int, int]):
+    def __init__(self, n: int, df: dict[int, int], aliases: dict[str, frozenset[str]]):
         self.n = max(n, 2)
         self.df = df
+        self.aliases = aliases
         self.memo: dict[str, dict[int, float]] = {}
 
-    def idf(self, f: int) -> float:
-        return math.log(1 + self.n / self.df.get(f, 1))
+    def weight(self, f: int) -> float:
+        # The constant keeps what all names share from weighing nothing, in small tables above all.
+        return BASE + math.log(1 + self.n / self.df.get(f, 1))
 
     def of(self, k: str) -> dict[int, float]:
         v = self.memo.get(k)
         if v is None:
             if len(self.memo) > 60_000:
                 self.memo.clear()
-            v = {f: c * self.idf(f) for f, c in grams(k).items()}
+            v = {f: math.sqrt(c) * self.weight(f) for f, c in grams(k, self.aliases).items()}
             norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
             v = {f: x / norm for f, x in v.items()}
             self.memo[k] = v
         return v
 
-    def cosine(self, a: str, b: str) -> float:
-        if a == b:
-            return 1.0
-        x, y = self.of(a), self.of(b)
-        if len(x) > len(y):
-            x, y = y, x
-        return sum(w * y[f] for f, w in x.items() if f in y)
-
-    def bearers(self, k: str) -> float:
-        """How many bearers of a name chance alone would give: names times the product of its words' shares.
-
-        Initials count as the share their words have on average (one in twenty).
-        """
-        e = float(self.n)
-        for w in k.split():
-            e *= min(1.0, self.df.get(word_feature(w), 1) / self.n) if len(w) > 1 else 0.05
-        return e
-
-    def prefix(self, k: str, least: float) -> tuple[list[tuple[int, float]], float]:
-        """The heaviest features, as few as leave a rest shorter than least; and that rest's squared length.
-
-        Two vectors that share no prefix feature have a cosine below least. Features are ordered by
-        weight in the whole collection, the same for all vectors.
-        """
-        v = sorted(self.of(k).items(), key=lambda x: (-self.idf(x[0]), x[0]))
-        rest, out = 1.0, []
-        for f, w in v:
+    def mean(self, spellings: list[str]) -> dict[int, float]:
+        """Mean vector of the spellings of one node: its dot product with another's is the mean of all their cosines."""
+        if len(spellings) == 1:
+            return self.of(spellings[0])
+        m: dict[int, float] = {}
+        for k in spellings:
+            for f, x in self.of(k).items():
+                m[f] = m.get(f, 0.0) + x / len(spellings)
+        return m
+
+    def prefix(self, v: dict[int, float], least: float) -> list[int]:
+        """The rarest features, as few as leave a rest shorter than least: vectors of length 1 or less
+        that share none of these have a dot product below least. Every vector has them in the same order."""
+        rest, out = sum(x * x for x in v.values()), []
+        for f in sorted(v, key=lambda f: (self.df.get(f, 1), f)):
             if rest < least * least - 1e-12:
                 break
-            out.append((f, w))
-            rest -= w * w
-        return out, max(0.0, rest)
-
-
-class Index:
-    """Inverted index over the prefixes of a block of names, and their whole vectors in one array."""
-
-    def __init__(self, block: list[str], v: Vectors, least: float):
-        self.block, self.v, self.least = block, v, least
-        post: dict[int, list[int]] = {}
-        feats, weights, at = [], [], [0]
-        for i, k in enumerate(block):
-            for f, _ in v.prefix(k, least)[0]:
-                post.setdefault(f, []).append(i)
-            x = v.of(k)
-            feats += x.keys()
-            weights += x.values()
-            at.append(len(feats))
-        self.post = {f: np.array(i, np.int32) for f, i in post.items()}
-        self.feats, self.weights, self.at = np.array(feats, np.int32), np.array(weights), np.array(at)
-        self.dense = np.zeros(FEATURES)
-
-    def search(self, k: str) -> list[tuple[str, float]]:
-        """All names of the block with a cosine of at least least, best first.
-
-        A name that shares no prefix feature cannot reach least; those that share one are scored in
-        full, all at once, against the name's vector laid out over the features.
-        """
-        hits = [self.post[f] for f, _ in self.v.prefix(k, self.least)[0] if f in self.post]
-        if not hits:
-            return []
-        cand = np.unique(np.concatenate(hits))
-        x = self.v.of(k)
-        f = np.fromiter(x.keys(), np.int32, len(x))
-        self.dense[f] = np.fromiter(x.values(), float, len(x))
-        a, n = self.at[cand], self.at[cand + 1] - self.at[cand]
-        start = np.r_[0, np.cumsum(n)[:-1]]
-        pos = np.repeat(a - start, n) + np.arange(n.sum())
-        s = np.add.reduceat(self.dense[self.feats[pos]] * self.weights[pos], start)
-        self.dense[f] = 0.0
-        good = np.flatnonzero(s >= self.least - 1e-12)
-        return sorted(((self.block[cand[i]], min(1.0, float(s[i]))) for i in good), key=lambda y: (-y[1], y[0]))
-
-
-def word_feature(w: str) -> int:
-    """Number of a whole word beside the features of n-grams, as many of them again."""
-    return FEATURES + _h("w:" + w)
-
-
-def hash_pair(a: int, b: int) -> int:
-    """One number below 2^63 of two numbers."""
-    x = ((a & 0xFFFFFFFFFFFFFFFF) * 0x9E3779B97F4A7C15 + b * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF
-    return (x ^ x >> 32) * 0x9E3779B97F4A7C15 & 0x7FFFFFFFFFFFFFFF
+            out.append(f)
+            rest -= v[f] * v[f]
+        return out
+
+
+def dot(x: dict[int, float], y: dict[int, float]) -> float:
+    if len(x) > len(y):
+        x, y = y, x
+    return sum(w * y[f] for f, w in x.items() if f in y)
+
+
+def triples(k: str) -> list[str]:
+    """Neighbouring triples of a person's whole words in order: what names alone must share. None for organisations."""
+    w = sorted(set(k.split()))
+    if any(x in _ORG for x in w):
+        return []
+    w = [x for x in w if len(x) > 2]
+    return [" ".join(w[i : i + 3]) for i in range(len(w) - 2)]
 
 
 def compatible(a: str, b: str, aliases: dict[str, frozenset[str]]) -> float:
     """How well two names can be one: 1 all words alike, less for initials, short names, cut words; 0 if words contradict.
 
-    Words of the shorter name are given each its own word of the longer (optimal assignment by
-    exhaustion over at most six words); words of the longer may be missing, words of the shorter
-    may not, and at least one full word must agree.
+    Words of the shorter name are given each its own word of the longer (optimal assignment);
+    words of the longer may be missing, words of the shorter may not, and at least one full word
+    must agree.
     """
     if a == b:
         return 1.0
@@ -222,25 +190,65 @@ def compatible(a: str, b: str, aliases: dict[str, frozenset[str]]) -> float:
 
 
 def _assign(x: list[str], y: list[str], aliases: dict[str, frozenset[str]]) -> float:
+    """Mean agreement of the best assignment of the shorter side's words; 0 where one of them finds none."""
     if len(x) > len(y):
         x, y = y, x
-    if len(x) > 6 or len(y) > 8:
-        return 0.0 if not set(x) & set(y) else len(set(x) & set(y)) / len(set(x))
-    grid = [[_word(p, q, aliases) for q in y] for p in x]
-    best = 0.0
-
-    def go(i: int, used: int, total: float, full: bool) -> None:
-        nonlocal best
-        if i == len(x):
-            if full:
-                best = max(best, total / len(x))
-            return
-        for j, v in enumerate(grid[i]):
-            if v > 0 and not used >> j & 1:
-                go(i + 1, used | 1 << j, total + v, full or v >= 0.9 and len(x[i]) >= 3)
-
-    go(0, 0, 0.0, False)
-    return best
+    both = Counter(x) & Counter(y)
+    p, q = list((Counter(x) - both).elements()), list((Counter(y) - both).elements())
+    total, full = float(sum(both.values())), any(len(w) > 2 for w in both)
+    if len(p) > LOOSE:
+        return 0.0
+    if p:
+        cost = [[-_word(a, b, aliases) for b in q] for a in p]
+        # A whole word that agrees wins a tie.
+        cost = [[c - 1e-4 if -c >= 0.9 and len(a) > 2 else c for c in row] for a, row in zip(p, cost)]
+        for i, j in enumerate(_best(cost)):
+            v = -cost[i][j]
+            if v <= 0:
+                return 0.0
+            full = full or v > 0.9 and len(p[i]) > 2
+            total += min(v, 1.0)
+    return total / len(x) if full else 0.0
+
+
+def _best(cost: list[list[float]]) -> list[int]:
+    """Column of each row in the cheapest assignment (shortest augmenting paths; at most as many rows as columns)."""
+    n, m = len(cost), len(cost[0])
+    if n == 1:
+        return [min(range(m), key=cost[0].__getitem__)]
+    u, v, owner = [0.0] * n, [0.0] * m, [-1] * m
+    for i in range(n):
+        dist, seen, back = [math.inf] * m, [False] * m, [-1] * m
+        row, at = i, -1
+        while True:
+            best, nxt = math.inf, -1
+            for j in range(m):
+                if seen[j]:
+                    continue
+                d = (dist[at] if at >= 0 else 0.0) + cost[row][j] - u[row] - v[j]
+                if d < dist[j]:
+                    dist[j], back[j] = d, at
+                if dist[j] < best:
+                    best, nxt = dist[j], j
+            at, seen[nxt] = nxt, True
+            if owner[at] < 0:
+                break
+            row = owner[at]
+        far = dist[at]
+        for j in range(m):
+            if seen[j] and owner[j] >= 0:
+                u[owner[j]] += far - dist[j]
+            if seen[j]:
+                v[j] -= far - dist[j]
+        u[i] += far
+        while at >= 0:
+            owner[at] = i if back[at] < 0 else owner[back[at]]
+            at = back[at]
+    out = [0] * n
+    for j, i in enumerate(owner):
+        if i >= 0:
+            out[i] = j
+    return out
 
 
 def _word(p: str, q: str, aliases: dict[str, frozenset[str]]) -> float:

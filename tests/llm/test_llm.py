@@ -1,6 +1,7 @@
 """Operators of the llm subpackage against brute force, round trips and planted cases; odd input included."""
 
 import glob
+import itertools
 import os
 import random
 from datetime import datetime
@@ -95,20 +96,39 @@ def test_hot_account_is_ranked_in_parts(spark):
 # ---- names and linkage (p2) --------------------------------------------------------------------
 
 
-def test_name_index_is_exact():
-    rnd = random.Random(4)
+def random_names(seed, n):
+    rnd = random.Random(seed)
     syl = ["rav", "kum", "shan", "devi", "pat", "mish", "gup", "sin"]
     word = lambda: "".join(rnd.choice(syl) for _ in range(rnd.randint(2, 3)))
-    block = sorted({" ".join(sorted(word() for _ in range(rnd.randint(1, 3)))) for _ in range(300)})
+    return sorted({" ".join(sorted(word() for _ in range(rnd.randint(1, 3)))) for _ in range(n)})
+
+
+def name_vectors(block):
     df = {}
     for k in block:
-        for f in names.grams(k):
+        for f in names.grams(k, {}):
             df[f] = df.get(f, 0) + 1
-    v = names.Vectors(len(block), df)
-    index = names.Index(block, v, 0.7)
-    for k in block[:80]:
-        assert {o for o, _ in index.search(k)} == {o for o in block if v.cosine(k, o) >= 0.7}
-    assert index.search("zzzz") == []
+    return names.Vectors(len(block), df, {})
+
+
+@pytest.mark.parametrize("held", [holders.HELD, 7])
+def test_cosine_join_is_exact(spark, held):
+    """Every pair of a block from its least cosine on is linked, straight or through a member of equal names, nothing else; hot blocks alike."""
+    ns = random_names(4, 60)
+    v = name_vectors(ns)
+    rows = [(k, 10 * i + d, [n]) for k in (4, 5, 6) for i, n in enumerate(ns) for d in ((0, 1) if i % 5 == 0 else (0,))]
+    rows += [(8, 9001, [ns[0]]), (12, 9002, [ns[0]])]
+    got = {frozenset(r) for r in map(tuple, holders.cosine_links(spark.createDataFrame(rows, "k long, node long, names array<string>"), v, held).collect())}
+    want = set()
+    for k in (4, 5, 6):
+        for i, a in enumerate(ns):
+            if i % 5 == 0:
+                want.add(frozenset((10 * i, 10 * i + 1)))
+            for j in range(i):
+                c = names.dot(v.of(a), v.of(ns[j]))
+                if c >= names.LEAST[k & 3] and (k & 3 != 2 or c >= names.SURE or names.compatible(a, ns[j], {}) > 0):
+                    want.add(frozenset((10 * i, 10 * j)))
+    assert got == want
 
 
 def test_names_compatible():
@@ -122,56 +142,63 @@ def test_names_compatible():
     assert c("Asha Rao", "Vinod Rao") == 0.0
     assert c("Acme Tex. Pvt. Ltd.", "ACME TEXTILES PRIVATE LIMITED") == 1.0
     assert c("Acme Textiles Ltd", "Acme Chemicals Ltd") == 0.0
+    long = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400))
+    assert c(long, long + " more") == 1.0 and c(long, long[::-1]) == 0.0
 
 
-def test_average_linkage_separates_a_chain(spark):
-    pairs = [(1, 2, 0.9), (2, 3, 0.8), (1, 3, 0.0), (4, 5, 0.7), (5, 4, 0.6), (6, 6, 1.0), (7, 8, 0.4)]
-    got = dict(map(tuple, linkage.average_linkage(spark.createDataFrame(pairs, "i long, j long, s double"), 0.5).collect()))
-    assert got == {1: 1, 2: 1, 4: 4, 5: 4}
-    assert linkage.average_linkage(spark.createDataFrame([], "i long, j long, s double"), 0.5).count() == 0
-
-
-def slow_linkage(pairs, least):
-    cl = {x: {x} for p in pairs for x in p[:2]}
-    s = {frozenset(p[:2]): p[2] for p in pairs}
+def test_best_assignment_against_all():
+    rnd = random.Random(2)
+    for _ in range(200):
+        n = rnd.randint(1, 4)
+        m = rnd.randint(n, 5)
+        cost = [[rnd.choice([0, -0.6, -0.95, -1]) for _ in range(m)] for _ in range(n)]
+        got = names._best(cost)
+        assert len(set(got)) == n
+        assert sum(cost[i][j] for i, j in enumerate(got)) == pytest.approx(min(sum(cost[i][p[i]] for i in range(n)) for p in itertools.permutations(range(m), n)))
+
+
+def slow_linkage(ns, v, least):
+    """One pair after the other, means of all cosines taken anew each time."""
+    cl = {i: [i] for i in range(len(ns))}
     while True:
         best = None
         for a in cl:
             for b in cl:
                 if a < b:
-                    v = [s[frozenset((x, y))] for x in cl[a] for y in cl[b] if frozenset((x, y)) in s]
-                    if v and sum(v) / len(v) >= least:
-                        k = (sum(v) / len(v), -a, -b)
-                        if best is None or k > best:
-                            best = k
+                    m = round(sum(names.dot(v.of(ns[x]), v.of(ns[y])) for x in cl[a] for y in cl[b]) / len(cl[a]) / len(cl[b]), linkage.DIGITS)
+                    if m >= least and (best is None or (m, -a, -b) > best):
+                        best = (m, -a, -b)
         if best is None:
-            return {x: a for a, m in cl.items() if len(m) > 1 for x in m}
+            return sorted(tuple(sorted(m)) for m in cl.values())
         _, a, b = best
-        cl[-a] |= cl.pop(-b)
+        cl[-a] += cl.pop(-b)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_average_linkage_equals_one_at_a_time(spark, seed):
-    rnd = random.Random(seed)
-    pairs = [(i, j, round(rnd.random(), 6)) for i in range(14) for j in range(i + 1, 14)]  # all pairs compared: reducible
-    got = dict(map(tuple, linkage.average_linkage(spark.createDataFrame(pairs, "i long, j long, s double"), 0.55).collect()))
-    assert got == slow_linkage(pairs, 0.55)
-
-
-@pytest.mark.parametrize("held", [linkage.HELD, 0])
-def test_average_linkage_of_large_stars_and_ties(spark, held):
-    rnd = random.Random(5)
-    # More leaves than rounds once allowed: a star of equals, and one whose leaves all differ.
-    pairs = [(1, i, 0.9) for i in range(2, 102)]
-    want = {i: 1 for i in range(1, 102)}
-    if held:
-        pairs += [(200, 200 + i, 0.6 + i / 1000) for i in range(1, 101)]
-        want |= {i: 200 for i in range(200, 301)}
-    # Ties that don't agree: 400-401 first, then 402 is too far on average; and random ties over all pairs.
-    pairs += [(400, 401, 0.9), (401, 402, 0.9), (400, 402, 0.0)]
-    ties = [(i, j, rnd.choice([0.2, 0.5, 0.9])) for i in range(500, 509) for j in range(i + 1, 509)]
-    got = dict(map(tuple, linkage.average_linkage(spark.createDataFrame(pairs + ties, "i long, j long, s double"), 0.5, held).collect()))
-    assert got == want | {400: 400, 401: 400} | slow_linkage(ties, 0.5)
+def clusters(rows):
+    out = {}
+    for node, c in map(tuple, rows):
+        out.setdefault(c, []).append(node)
+    return sorted(tuple(sorted(m)) for m in out.values())
+
+
+@pytest.mark.parametrize("held", [linkage.HELD, 6])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_average_linkage_equals_one_at_a_time(spark, seed, held):
+    ns = random_names(seed, 30)
+    v = name_vectors(ns)
+    rows = [(3, i, [n]) for i, n in enumerate(ns)] + [(4, 100, [ns[0]])]
+    df = spark.createDataFrame(rows + rows[:2], "c long, node long, names array<string>")
+    assert clusters(linkage.average_linkage(df, v.mean, 0.4, held).collect()) == sorted(slow_linkage(ns, v, 0.4) + [(100,)])
+
+
+@pytest.mark.parametrize("held", [linkage.HELD, 1])
+def test_average_linkage_of_equals_and_nothing(spark, held):
+    ns = ["asha rao", "vinod mehta"]
+    v = name_vectors(ns)
+    schema = "c long, node long, names array<string>"
+    rows = [(1, i, [ns[i % 2]]) for i in range(200)] + [(1, 300, [])]
+    assert clusters(linkage.average_linkage(spark.createDataFrame(rows, schema), v.mean, 0.5, held).collect()) == [tuple(range(0, 200, 2)), tuple(range(1, 200, 2)), (300,)]
+    assert linkage.average_linkage(spark.createDataFrame([], schema), v.mean, 0.5, held).count() == 0
 
 
 CONTACT = "id long, name string, address string, demat_no string, contact string, email string, node string"
@@ -191,14 +218,22 @@ def test_holders_tell_relatives_and_namesakes_apart(spark):
 
 def test_holder_of_a_rare_name_at_many_addresses(spark):
     named = lambda i, n, a: (*line(i, f"F{i}", "A")[:4], n, None, a, *line(i, f"F{i}", "A")[7:])
-    rows = [named(i, "Snehlata Qureshikar", f"{i} {street} Road, Pune 41100{i}") for i, street in enumerate(["Lake", "Hill", "Temple", "Garden"], 1)]
+    rows = [named(i, "Snehlata Meenakshi Qureshikar", f"{i} {street} Road, Pune 41100{i}") for i, street in enumerate(["Lake", "Hill", "Temple", "Garden"], 1)]
     rows += [named(100 + i, f"{a}{b} {b}{a}kar", f"{i} Market Road, Nagpur 440001") for i, (a, b) in enumerate((a, b) for a in ("Vin", "Ash", "Mee", "Kar", "Rit", "Dol", "Pra", "Sub") for b in ("odan", "aviti", "ramul", "otesh", "unika", "ebrat"))]
-    con = [(10, "Snehlata Qureshikar", None, None, None, None, "c")]
+    con = [(10, "Snehlata Meenakshi Qureshikar", None, None, None, None, "c")]
     al = spark.createDataFrame([], "alias_name string, given_name string")
     got = sorted(map(tuple, holders.same_holders(spark.createDataFrame(rows, LINE), spark.createDataFrame(con, CONTACT), al).collect()))
     assert got == [(i, 10) for i in (1, 2, 3, 4)]
 
 
+def test_no_holders_without_the_cosine_join(spark, monkeypatch):
+    row = (*line(1, "F1", "A")[:3], "IN91000011112222", "Sunil Sharma", *line(1, "F1", "A")[5:])
+    al = spark.createDataFrame([], "alias_name string, given_name string")
+    con = [(10, "Sunil Sharma", None, "IN91000011112222", None, None, "c")]
+    monkeypatch.setattr(holders, "cosine_links", lambda members, v: members.select(F.col("node").alias("i"), F.col("node").alias("j")).limit(0))
+    assert holders.same_holders(spark.createDataFrame([row], LINE), spark.createDataFrame(con, CONTACT), al).count() == 0
+
+
 def test_early_slips_in_all_words(spark):
     row = (*line(1, "F1", "A")[:3], "IN91000011112222", "Snuil Shrama", *line(1, "F1", "A")[5:])
     al = spark.createDataFrame([], "alias_name string, given_name string")
