@@ -86,9 +86,9 @@ def alias_map(aliases: DataFrame) -> dict[str, frozenset[str]]:
     return {a: frozenset(g) for a, g in out.items()}
 
 
-def vectors(distinct_names: DataFrame, aliases: dict[str, frozenset[str]]) -> names.Vectors:
-    """Document frequencies of the hashed n-grams of all names: at most names.FEATURES numbers."""
-    held = distinct_names.sparkSession.sparkContext.broadcast(aliases)
+def vectors(spellings: DataFrame, aliases: dict[str, frozenset[str]]) -> names.Vectors:
+    """Document frequencies of the hashed n-grams of all spellings of all nodes: at most names.FEATURES numbers."""
+    held = spellings.sparkSession.sparkContext.broadcast(aliases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df: Counter[int] = Counter()
@@ -100,13 +100,13 @@ def vectors(distinct_names: DataFrame, aliases: dict[str, frozenset[str]]) -> na
         df[-1] = n
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.int64()), pa.array(list(df.values()), pa.int64())], ["f", "n"])
 
-    rows = distinct_names.select("name").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()
+    rows = spellings.select("name").mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()
     df = {r[0]: r[1] for r in rows}
     return names.Vectors(df.pop(-1, 0), df, aliases)
 
 
-#: Members of a block that one task joins at once.
-HELD = 2_000
+#: Members of a block that one task joins at once; up to FEW names are compared without an index.
+HELD, FEW = 2_000, 8
 
 
 def cosine_links(members: DataFrame, v: names.Vectors, held: int = HELD) -> DataFrame:
@@ -146,9 +146,17 @@ def cosine_links(members: DataFrame, v: names.Vectors, held: int = HELD) -> Data
                     if link(k, ns, ns, x, x):
                         i.append(first[1])
                         j.append(node)
-            post: dict[int, list[tuple]] = {}
             if len(same) < 2:
                 return
+            if len(same) <= FEW and f < 0:
+                reps = [(node, ns, m.mean(ns)) for _, node, ns in same.values()]
+                for n, (node, ns, x) in enumerate(reps):
+                    for other, os, y in reps[:n]:
+                        if link(k, ns, os, x, y):
+                            i.append(other)
+                            j.append(node)
+                return
+            post: dict[int, list[tuple]] = {}
             for own, node, ns in same.values():
                 x = m.mean(ns)
                 head = m.prefix(x, least)
@@ -240,18 +248,20 @@ def same_holders(lines: DataFrame, contacts: DataFrame, aliases: DataFrame) -> D
     rows = described(acc.withColumn("row", F.col("id")), ("full_name", "address", "demat_account", "mobile_number", "email_id"))
     rows = rows.unionByName(described(con.withColumn("row", F.col("id")), ("name", "address", "demat_no", "contact", "email")))
     rows = checkpointed(rows)
-    short = alias_map(aliases)
-    v = vectors(rows.where("name is not null").select("name").distinct(), short)
-    nodes = checkpointed(rows.where("name is not null").groupBy("node").agg(F.sort_array(F.collect_set("name")).alias("names")))
-    members = rows.select("node", F.explode("keys").alias("k")).distinct().join(nodes, "node")
-    links = checkpointed(cosine_links(members, v).distinct())
-    group = checkpointed(hash_to_min(links, "i", "j").select(F.col("record_key").cast("long").alias("node"), F.col("group_key").cast("long").alias("c")))
+    nodes = rows.groupBy("node").agg(F.sort_array(F.collect_set("name")).alias("names"), F.array_distinct(F.flatten(F.collect_set("keys"))).alias("keys"))
+    # Nodes are numbered, as running numbers take less room in shuffles than hashes.
     side = F.col("node").bitwiseAND(F.lit(1))
+    nodes = checkpointed(nodes.where("size(names) > 0").withColumn("id", F.monotonically_increasing_id() * 2 + side))
+    v = vectors(nodes.select(F.explode("names").alias("name")), alias_map(aliases))
+    links = checkpointed(cosine_links(nodes.select(F.explode("keys").alias("k"), F.col("id").alias("node"), "names"), v).distinct())
+    group = checkpointed(hash_to_min(links, "i", "j").select(F.col("record_key").alias("node"), F.col("group_key").alias("c")))
     mixed = group.groupBy("c").agg(F.min(side).alias("low"), F.max(side).alias("high")).where("low < high").select("c")
     sent = lines.sparkSession.sparkContext.broadcast(v)
-    label = average_linkage(group.join(mixed, "c", "left_semi").join(nodes, "node"), lambda ns: sent.value.mean(ns), names.MERGE)
-    label = checkpointed(label)
-    named = rows.where("name is not null").select("node", "row").distinct().join(label, "node")
+    members = group.join(mixed, "c", "left_semi").join(nodes.select(F.col("id").alias("node"), "names"), "node")
+    label = average_linkage(members, lambda ns: sent.value.mean(ns), names.MERGE).withColumnRenamed("node", "id")
+    label = checkpointed(label.join(nodes.select("id", "node"), "id").select("node", "cluster"))
+    named = rows.where("name is not null").select("node", "row").repartition("node").distinct().join(label, "node")
     have = named.where(side == 1).select("cluster", F.col("row").alias("shareholder_row"))
     want = named.where(side == 0).select("cluster", F.col("row").alias("contact_id"))
-    return have.join(want, "cluster").select("shareholder_row", "contact_id").distinct()
+    # A row has one node and a node one cluster, so no pair comes twice.
+    return have.join(want, "cluster").select("shareholder_row", "contact_id")

@@ -128,10 +128,15 @@ class Vectors:
         """Mean vector of the spellings of one node: its dot product with another's is the mean of all their cosines."""
         if len(spellings) == 1:
             return self.of(spellings[0])
-        m: dict[int, float] = {}
+        key = "|".join(spellings)
+        m = self.memo.get(key)
+        if m is not None:
+            return m
+        m = {}
         for k in spellings:
             for f, x in self.of(k).items():
                 m[f] = m.get(f, 0.0) + x / len(spellings)
+        self.memo[key] = m
         return m
 
     def prefix(self, v: dict[int, float], least: float) -> list[int]:
