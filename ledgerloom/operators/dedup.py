@@ -8,14 +8,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.similarity import length_bound, sorted_tokens, token_set_ratio, ratio
+from ledgerloom.functions.similarity import length_bound, ratio, sorted_tokens, token_set_ratio
+from ledgerloom.operators.fuzzy import alike
+from ledgerloom.session import checkpointed
 
 
 def keep_best(df: DataFrame, key: Column, best: list[Column]) -> DataFrame:
-    """The best row of each group of equal keys; rows without a key all stay. best must settle every tie."""
-    w = Window.partitionBy("__k").orderBy(*best)
-    k = df.withColumn("__k", key)
-    return k.where("__k is not null").withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn").unionByName(k.where("__k is null")).drop("__k")
+    """The row of each group of equal keys that comes first in the order best; rows without a key all stay. best must settle every tie.
+
+    An order of several columns is kept by rank in two levels: first in salted parts of a group,
+    then among the survivors of the parts, so that a key with a third of all rows is no task of its own.
+    """
+    k = df.withColumn("__k", key).withColumn("__s", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+    some = k.where("__k is not null")
+    for by in (["__k", "__s"], ["__k"]):
+        some = some.withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(*best))).where("__rn = 1").drop("__rn")
+    return some.unionByName(k.where("__k is null")).drop("__k", "__s")
 
 
 def keep_last(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
@@ -39,42 +47,48 @@ def account_pairs(df: DataFrame, key: Column, order: str) -> DataFrame:
 
 
 def similar_pairs(df: DataFrame, order: str, name: str, address: str, least: float = 85.0, prefix: int = 3) -> DataFrame:
-    """Pairs i < j of rows whose names begin alike and whose names and addresses both reach least.
+    """Pairs i < j of rows whose printed names begin alike and whose names and addresses both reach least.
 
-    The scores are token-sort ratios. Equal (name, address) pairs are scored once: the join runs
-    over distinct texts, the length bound cuts names that cannot reach the threshold, and the
-    address is only scored for pairs whose names passed. Copies of one text are told by text_rows;
-    rows stand for their texts by their smallest number.
+    The scores are token-sort ratios. Names are compared over distinct texts by an exact similarity
+    join (fuzzy.alike); the block, the first letters of the name as it is printed, is a condition
+    on the pairs, not the join key, so a common beginning is no task of its own. Copies of one
+    text in a block are told by text_rows; rows stand for them by their smallest number.
     """
-    t = df.select(F.col(order).alias("r"), sorted_tokens(F.lower(F.regexp_replace(F.col(name), r"[\s,;]+", " "))).alias("n"), sorted_tokens(F.lower(F.regexp_replace(F.col(address), r"[\s,;]+", " "))).alias("a"))
-    t = t.where("n <> '' and a <> ''").groupBy("n", "a").agg(F.min("r").alias("r"), F.count(F.lit(1)).alias("text_rows"))
-    t = t.withColumn("b", F.substring("n", 1, prefix))
-    x, y = t.select("b", *[F.col(c).alias(f"{c}1") for c in ("r", "n", "a", "text_rows")]), t.select("b", *[F.col(c).alias(f"{c}2") for c in ("r", "n", "a", "text_rows")])
-    p = x.join(y, "b").where("r1 < r2").where(length_bound(F.col("n1"), F.col("n2")) >= least).where(length_bound(F.col("a1"), F.col("a2")) >= least)
-    p = p.withColumn("name_score", ratio(F.col("n1"), F.col("n2"))).where(F.col("name_score") >= least)
+    norm = lambda c: sorted_tokens(F.lower(F.regexp_replace(F.col(c), r"[\s,;]+", " ")))
+    t = df.select(F.col(order).alias("r"), norm(name).alias("n"), norm(address).alias("a"), F.substring(F.lower(F.trim(F.col(name))), 1, prefix).alias("b"))
+    t = checkpointed(t.where("n <> '' and a <> ''").groupBy("b", "n", "a").agg(F.min("r").alias("r"), F.count(F.lit(1)).alias("text_rows")))
+    names = numbered_texts(t, "n")
+    p = alike(names, None, least)
+    same = names.select(F.col("id").alias("l"), F.col("id").alias("r"), F.lit(100.0).alias("score"))
+    p = p.unionByName(p.select(F.col("r").alias("l"), F.col("l").alias("r"), "score")).unionByName(same)
+    t = t.join(names.withColumnRenamed("text", "n"), "n")
+    x, y = (t.select("b", F.col("id").alias(side), *[F.col(c).alias(f"{c}{i}") for c in ("r", "a", "text_rows")]) for i, side in ((1, "l"), (2, "r")))
+    p = p.withColumnRenamed("score", "name_score").join(x, "l").join(y, ["r", "b"]).where("r1 < r2").where(length_bound(F.col("a1"), F.col("a2")) >= least)
     p = p.withColumn("address_score", ratio(F.col("a1"), F.col("a2"))).where(F.col("address_score") >= least)
     return p.select(F.col("r1").alias("row_a"), F.col("r2").alias("row_b"), "name_score", "address_score", F.col("text_rows1").alias("copies_a"), F.col("text_rows2").alias("copies_b"))
 
 
+def numbered_texts(df: DataFrame, text: str) -> DataFrame:
+    """(id, text): the distinct texts of a column with a number each, fixed by a checkpoint."""
+    return checkpointed(df.select(F.col(text).alias("text")).where("text <> ''").distinct().withColumn("id", F.monotonically_increasing_id()).select("id", "text"))
+
+
 def set_similar_pairs(df: DataFrame, order: str, name: str, address: str, least: float = 85.0) -> DataFrame:
     """Pairs whose names and addresses both reach least by token-set ratio, without a block on how they begin.
 
-    A token-set ratio of 85 or more needs a common word or words that are nearly alike; pairs are
-    found over common words of the name (rare words first would miss none either, but the join is
-    on all words of the distinct texts).
+    No pair is missed: names are compared over distinct texts by an exact similarity join
+    (fuzzy.alike), in which one name may be a part of the other.
     """
     t = df.select(F.col(order).alias("r"), F.lower(F.col(name)).alias("n"), F.lower(F.regexp_replace(F.col(address), r"[\s,;]+", " ")).alias("a"))
-    t = t.where("trim(n) <> '' and trim(a) <> ''").groupBy("n", "a").agg(F.min("r").alias("r"))
-    w = t.select("r", "n", "a", F.explode(F.array_distinct(F.split(F.trim("n"), r"\s+"))).alias("w")).where("length(w) > 2")
-    f = w.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
-    # The two rarest words of each name: a pair at the threshold shares one of them or differs in it by spelling only.
-    rare = w.join(f, "w").withColumn("k", F.row_number().over(Window.partitionBy("r").orderBy("f", "w"))).where("k <= 2")
-    x = rare.select("w", *[F.col(c).alias(f"{c}1") for c in ("r", "n", "a")])
-    y = rare.select("w", *[F.col(c).alias(f"{c}2") for c in ("r", "n", "a")])
-    p = x.join(y, "w").where("r1 < r2").drop("w").distinct()
-    p = p.withColumn("name_score", token_set_ratio(F.col("n1"), F.col("n2"))).where(F.col("name_score") >= least)
+    t = checkpointed(t.where("trim(n) <> '' and trim(a) <> ''").groupBy("n", "a").agg(F.min("r").alias("r")))
+    names = numbered_texts(t, "n")
+    p = alike(names, None, least, sets=True)
+    same = names.select(F.col("id").alias("l"), F.col("id").alias("r"), F.lit(100.0).alias("score"))
+    t = t.join(names.withColumnRenamed("text", "n"), "n")
+    x, y = (t.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}{i}") for c in ("r", "a")]) for i, side in ((1, "l"), (2, "r")))
+    p = p.unionByName(same).withColumnRenamed("score", "name_score").join(x, "l").join(y, "r").where("l <> r or r1 < r2")
     p = p.withColumn("address_score", token_set_ratio(F.col("a1"), F.col("a2"))).where(F.col("address_score") >= least)
-    return p.select(F.col("r1").alias("row_a"), F.col("r2").alias("row_b"), "name_score", "address_score")
+    return p.select(F.least("r1", "r2").alias("row_a"), F.greatest("r1", "r2").alias("row_b"), "name_score", "address_score")
 
 
 def drop_earlier(pairs: DataFrame) -> DataFrame:

@@ -7,16 +7,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.similarity import length_bound, ratio, sorted_tokens
+from ledgerloom.functions.similarity import ratio, sorted_tokens
+from ledgerloom.operators.dedup import numbered_texts
+from ledgerloom.operators.fuzzy import alike
+from ledgerloom.session import checkpointed
 
 
-def exact_then_fuzzy(rows: DataFrame, contacts: DataFrame, least: float = 85.0, block: int = 3) -> DataFrame:
+def exact_then_fuzzy(rows: DataFrame, contacts: DataFrame, least: float = 85.0) -> DataFrame:
     """(row_id, contact_id, match_type, score): by account number, else the most similar name and address.
 
     rows: row_id, name, address, account; contacts: contact_id, name, address, account. The score
     is the mean of the token-sort ratios of name and address, or of the name alone where an
     address is missing; ties go to the smallest contact_id. The fuzzy step only sees rows that the
-    exact one left, over distinct texts, in blocks of names that begin alike after sorting words.
+    exact one left, over distinct texts. A mean of least needs a name or an address that reaches
+    it, so the pairs found by an exact similarity join of the names and one of the addresses
+    are all there can be.
     """
     acc = lambda c: F.nullif(F.upper(F.regexp_replace(F.col(c), r"[^A-Za-z0-9]", "")), F.lit(""))
     c1 = contacts.select(acc("account").alias("k"), "contact_id").where("k is not null").groupBy("k").agg(F.min("contact_id").alias("contact_id"))
@@ -24,13 +29,20 @@ def exact_then_fuzzy(rows: DataFrame, contacts: DataFrame, least: float = 85.0,
     hit = r1.join(c1, "k").select("row_id", "contact_id", F.lit("account_exact").alias("match_type"), F.lit(100.0).alias("score"))
     rest = r1.join(hit, "row_id", "left_anti")
     norm = lambda c: sorted_tokens(F.lower(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"[\s,;]+", " ")))
-    a = rest.select("row_id", norm("name").alias("n1"), norm("address").alias("a1")).where("n1 <> ''")
-    texts = a.groupBy("n1", "a1").agg(F.min("row_id").alias("rep"))
-    b = contacts.select("contact_id", norm("name").alias("n2"), norm("address").alias("a2")).where("n2 <> ''")
-    p = texts.withColumn("b", F.substring("n1", 1, block)).join(b.withColumn("b", F.substring("n2", 1, block)), "b")
+    a = checkpointed(rest.select("row_id", norm("name").alias("n1"), norm("address").alias("a1")).where("n1 <> ''"))
+    texts = a.select("n1", "a1").distinct()
+    b = checkpointed(contacts.select("contact_id", norm("name").alias("n2"), norm("address").alias("a2")).where("n2 <> ''"))
+
+    def found(x: str, y: str) -> DataFrame:
+        """Pairs of texts and contacts of which one attribute reaches least."""
+        l, r = numbered_texts(texts, x), numbered_texts(b, y)
+        p = alike(l, r, least).select("l", "r")
+        p = p.join(l.select(F.col("id").alias("l"), F.col("text").alias(x)), "l").join(r.select(F.col("id").alias("r"), F.col("text").alias(y)), "r").select(x, y)
+        return texts.join(p, x).join(b, y).select("n1", "a1", "n2", "a2", "contact_id")
+
+    p = found("n1", "n2").unionByName(found("a1", "a2")).distinct()
     both = (F.col("a1") != "") & (F.col("a2") != "")
-    bound = F.when(both, (length_bound(F.col("n1"), F.col("n2")) + length_bound(F.col("a1"), F.col("a2"))) / 2).otherwise(length_bound(F.col("n1"), F.col("n2")))
-    p = p.where(bound >= least).withColumn("ns", ratio(F.col("n1"), F.col("n2"))).where(F.when(both, F.col("ns") >= 2 * least - 100).otherwise(F.col("ns") >= least))
+    p = p.withColumn("ns", ratio(F.col("n1"), F.col("n2"))).where(F.when(both, F.col("ns") >= 2 * least - 100).otherwise(F.col("ns") >= least))
     p = p.withColumn("score", F.when(both, (F.col("ns") + ratio(F.col("a1"), F.col("a2"))) / 2).otherwise(F.col("ns"))).where(F.col("score") >= least)
     best = p.groupBy("n1", "a1").agg(F.max_by(F.struct("contact_id", "score"), F.struct("score", -F.col("contact_id"))).alias("m"))
     fuzzy = a.join(best, ["n1", "a1"]).select("row_id", "m.contact_id", F.lit("name_address_fuzzy").alias("match_type"), F.col("m.score").alias("score"))
@@ -40,20 +52,16 @@ def exact_then_fuzzy(rows: DataFrame, contacts: DataFrame, least: float = 85.0,
 def best_dimension(keys: DataFrame, dim: DataFrame, key: str, name: str, least: float = 80.0) -> DataFrame:
     """(key, name, score): the dimension row with the same normal form, else the most similar above least.
 
-    Only distinct keys are looked up. The dimension is a small fixed table; its size is checked
-    before the all-pairs step and beyond 10,000 rows pairs are formed in blocks of equal first letters.
+    Only distinct keys are looked up, by one exact similarity join whatever the sizes.
     """
     norm = lambda c: sorted_tokens(F.lower(F.regexp_replace(F.col(c), r"[^A-Za-z0-9 ]", " ")))
     k = keys.select(F.col(key).alias("key"), norm(key).alias("kn")).where("kn <> ''").distinct()
     d = dim.select(F.col(name).alias("name"), norm(name).alias("dn")).where("dn <> ''").groupBy("dn").agg(F.min("name").alias("name"))
     exact = k.join(d, k["kn"] == d["dn"]).select("key", "name", F.lit(100.0).alias("score"))
-    rest = k.join(exact, "key", "left_anti")
-    texts = rest.select("kn").distinct()
-    if d.limit(10_001).count() <= 10_000:
-        p = texts.join(F.broadcast(d), length_bound(F.col("kn"), F.col("dn")) > least)
-    else:
-        p = texts.join(d, F.substring("kn", 1, 1) == F.substring("dn", 1, 1)).where(length_bound(F.col("kn"), F.col("dn")) > least)
-    p = p.withColumn("score", ratio(F.col("kn"), F.col("dn"))).where(F.col("score") > least)
+    rest = checkpointed(k.join(exact, "key", "left_anti"))
+    l, r = numbered_texts(rest, "kn"), numbered_texts(d, "dn")
+    p = alike(l, r, least).where(F.col("score") > least).join(l.select(F.col("id").alias("l"), F.col("text").alias("kn")), "l")
+    p = p.join(r.select(F.col("id").alias("r"), F.col("text").alias("dn")), "r").join(d, "dn")
     best = p.groupBy("kn").agg(F.min_by(F.struct("name", "score"), F.struct(-F.col("score"), "name")).alias("m"))
     return exact.unionByName(rest.join(best, "kn").select("key", "m.name", "m.score"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
 from ledgerloom.functions.registers import fy_label, fy_start
-from ledgerloom.operators import dedup, lookup, merge, store
+from ledgerloom.operators import dedup, fuzzy, lookup, merge, store
 from ledgerloom.plans.scalars import _LCS
 from ledgerloom.session import table
 
@@ -215,8 +215,8 @@ def _people(spark, sf):
 
 @query(
     f"""
-WITH t AS (SELECT n, a, min(id) AS r, count(*) AS k FROM (SELECT id, {_NORM.format("name_raw")} AS n, {_NORM.format("address")} AS a FROM persons WHERE name_raw IS NOT NULL AND address IS NOT NULL) WHERE n <> '' AND a <> '' GROUP BY n, a),
-p AS (SELECT x.r AS row_a, y.r AS row_b, x.n AS n1, y.n AS n2, x.a AS a1, y.a AS a2, x.k AS copies_a, y.k AS copies_b FROM t x JOIN t y ON substring(x.n, 1, 3) = substring(y.n, 1, 3) AND x.r < y.r
+WITH t AS (SELECT b, n, a, min(id) AS r, count(*) AS k FROM (SELECT id, {_NORM.format("name_raw")} AS n, {_NORM.format("address")} AS a, substring(lower(trim(replace(name_raw, chr(160), ' '))), 1, 3) AS b FROM persons WHERE name_raw IS NOT NULL AND address IS NOT NULL) WHERE n <> '' AND a <> '' GROUP BY b, n, a),
+p AS (SELECT x.r AS row_a, y.r AS row_b, x.n AS n1, y.n AS n2, x.a AS a1, y.a AS a2, x.k AS copies_a, y.k AS copies_b FROM t x JOIN t y ON x.b = y.b AND x.r < y.r
   WHERE 200.0 * least(length(x.n), length(y.n)) / (length(x.n) + length(y.n)) >= 85 AND 200.0 * least(length(x.a), length(y.a)) / (length(x.a) + length(y.a)) >= 85),
 s AS (SELECT *, 200.0 * ({_lcs("n1", "n2")}) / (length(n1) + length(n2)) AS name_score FROM p),
 q AS (SELECT *, 200.0 * ({_lcs("a1", "a2")}) / (length(a1) + length(a2)) AS address_score FROM s WHERE name_score >= 85)
@@ -253,9 +253,7 @@ def j06_known_company(spark, sf):
     """File stems resolved to companies by containment either way, first company wins."""
     f = _t(spark, sf, "shareholders").select(F.lower(F.regexp_extract("source_pdf", "^([a-z]+)_", 1)).alias("stem")).where("stem <> ''").distinct()
     c = _t(spark, sf, "companies").select("id", "name_normalized")
-    if c.limit(10_001).count() <= 10_000:  # the fixed list of companies is sent to the tasks only while it is small
-        c = F.broadcast(c)
-    return f.join(c, F.col("name_normalized").contains(F.col("stem")) | F.col("stem").contains(F.col("name_normalized"))).groupBy("stem").agg(F.min("id").alias("company_id"))
+    return fuzzy.containing(f, c, "stem", "name_normalized").groupBy("stem").agg(F.min("id").alias("company_id"))
 
 
 @query()

@@ -25,11 +25,14 @@ def local_session(cpus: int | str = 8, name: str = "ledgerloom") -> SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage: spark.checkpoint.dir where the cluster names one.
 
-    Only where it is unset (single-machine tests) a temporary folder is made.
+    Only where it is unset and the master is local (single-machine tests) a temporary folder is
+    made; on a cluster it must be set, as a folder of one machine would be lost with it.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         named = "file://" + tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)

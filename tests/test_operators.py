@@ -1,6 +1,7 @@
 """Merge, de-duplication, look-up, store, snapshots and drift on small tables, odd cases included."""
 
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -185,3 +186,77 @@ def test_sort_key_by_majority(spark, values, first):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     n, t = store.sort_key(df, "v")
     assert df.orderBy(n.desc_nulls_last(), t.desc()).first()[0] == first
+
+
+# ---- exact similarity joins --------------------------------------------------------------------
+
+
+def slipped(rnd, n):
+    syl = ["rav", "kum", "shan", "devi", "pat", "mish", "gup", "sin", "o"]
+    out = set()
+    while len(out) < n:
+        t = " ".join("".join(rnd.choice(syl) for _ in range(rnd.randint(1, 3))) for _ in range(rnd.randint(1, 4)))
+        out.add(t)
+        i = rnd.randrange(len(t))
+        out.add((t[:i] + rnd.choice(["", "x", " "]) + t[i + rnd.randint(0, 1) :]).strip() or "a")
+    return [" ".join(sorted(t.split())) for t in sorted(out)]
+
+
+@pytest.mark.parametrize(("sets", "least", "held"), [(False, 85.0, 2000), (False, 70.0, 2000), (True, 85.0, 2000), (False, 85.0, 5), (True, 80.0, 5)])
+def test_alike_finds_every_pair(spark, sets, least, held):
+    from ledgerloom.functions.similarity import plain, token_set
+    from ledgerloom.operators.fuzzy import alike
+
+    ts = sorted(set(slipped(random.Random(9), 90)))
+    score = token_set if sets else plain
+    df = spark.createDataFrame(list(enumerate(ts)) + [(900, None), (901, ""), (902, " ")], "id long, text string")
+    got = {(r["l"], r["r"]): r["score"] for r in alike(df, None, least, sets, held).collect()}
+    want = {(i, j): score(ts[i], ts[j]) for i in range(len(ts)) for j in range(i + 1, len(ts)) if score(ts[i], ts[j]) >= least}
+    assert got == pytest.approx(want) and want
+    other = spark.createDataFrame([(5, ts[0]), (6, ts[7] + "x")], "id long, text string")
+    got = {(r["l"], r["r"]) for r in alike(df, other, least, sets, held).collect()}
+    assert got == {(i, k) for i, t in enumerate(ts) for k, u in ((5, ts[0]), (6, ts[7] + "x")) if score(t, u) >= least}
+
+
+def test_containing_either_way(spark):
+    from ledgerloom.operators.fuzzy import containing
+
+    a = spark.createDataFrame([("abc",), ("b",), ("xyzab",), ("",), (None,)], "a string")
+    b = spark.createDataFrame([("ab",), ("zabcx",), ("q",), ("",)], "b string")
+    assert sorted(map(tuple, containing(a, b, "a", "b").collect())) == [("abc", "ab"), ("abc", "zabcx"), ("b", "ab"), ("b", "zabcx"), ("xyzab", "ab")]
+
+
+def test_fuzzy_queries_miss_nothing_on_whole_tables(spark):
+    """Recall 1 of the fuzzy look-up and of the token-set pairs against all pairs of the smallest data."""
+    import pandas as pd
+
+    from ledgerloom.functions.similarity import plain, token_set
+    from ledgerloom.plans import relational
+
+    sf = "/root/testdata/sf0.001"
+    got = {(r["row_a"], r["row_b"]) for r in relational.j05_set_pairs(spark, sf).collect()}
+    p = pd.read_parquet(f"{sf}/persons.parquet")[["id", "name_raw", "address"]].dropna()
+    first = {}
+    for i, n, a in p.itertuples(index=False):
+        k = (n.replace("\xa0", " ").lower(), re.sub(r"[\s,;]+", " ", a.replace("\xa0", " ")).lower())
+        first[k] = min(i, first.get(k, i))
+    rows = sorted((i, *k) for k, i in first.items())
+    want = {(x[0], y[0]) for n, y in enumerate(rows) for x in rows[:n] if token_set(x[1], y[1]) >= 85 and token_set(x[2], y[2]) >= 85}
+    assert got == want
+    f = pd.read_parquet(f"{sf}/shareholders_filtered.parquet")
+    c = pd.read_parquet(f"{sf}/inhouse_contacts.parquet")
+    norm = lambda s: " ".join(sorted(re.sub(r"[\s,;]+", " ", s.replace("\xa0", " ")).lower().split())) if isinstance(s, str) else ""
+    acc = lambda s: re.sub(r"[^A-Za-z0-9]", "", s).upper() if isinstance(s, str) else ""
+    known = {acc(x) for x in c.demat_no if acc(x)}
+    cs = [(i, norm(n), norm(a)) for i, n, a in zip(c.id, c.name, c.address) if norm(n)]
+    best = {}
+    for k, n, a, d in zip(f.folio_no, f.name, f.address, f.demat_account):
+        n, a = norm(n), norm(a)
+        if acc(d) in known or not n:
+            continue
+        scored = [((plain(n, m) + plain(a, b)) / 2 if a and b else plain(n, m), -i) for i, m, b in cs]
+        s, i = max(scored)
+        if s >= 85:
+            best[k] = -i
+    got = {r["row_id"]: r["contact_id"] for r in relational.j02_exact_then_fuzzy(spark, sf).where("match_type = 'name_address_fuzzy'").collect()}
+    assert got == best
