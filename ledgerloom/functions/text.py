@@ -204,22 +204,37 @@ def half_even(x: Column, digits: int = 0) -> Column:
     return F.bround(x, digits)
 
 
-#: Named functions that register_sql makes known to SQL, with their parameters.
-_SQL = {
-    "ll_clean_name": (("s",), clean_name), "ll_parse_amount": (("s",), parse_amount), "ll_to_int": (("s",), to_int), "ll_to_float": (("s",), to_float),
-    "ll_iso_date": (("s",), iso_date), "ll_slug": (("s",), slug), "ll_title_case": (("s",), title_case), "ll_identity_name": (("s",), identity_name),
-    "ll_phone": (("s",), phone), "ll_file_year": (("s",), file_year),
-}
+def upload_company(name: Column | str) -> Column:
+    """Slug of an uploaded file's company: what stands before a year or a word for the kind of list, else the first word.
+
+    A first word of less than three characters names nothing: 'unknown'.
+    """
+    stem = F.regexp_replace(_c(name), r"\.[^.]+$", "")
+    plain = F.regexp_replace(stem, "[_-]", " ")
+    before = F.regexp_extract(plain, r"(?i)^([a-z][a-z0-9 &]{2,40}?)\s+(?:20[0-2]\d|iepf|share|annual)", 1)
+    first = F.regexp_extract(stem, r"^([^\s_-]*)", 1)
+    return F.coalesce(F.nullif(slug(F.when(before != "", before).when(F.length(first) >= 3, first)), F.lit("")), F.lit("unknown"))
+
+
+def upload_year(name: Column | str) -> Column:
+    """The first year from 2000 to 2029 in an uploaded file's name, else 'unknown'."""
+    y = F.regexp_extract(F.regexp_replace(_c(name), r"\.[^.]+$", ""), r"(20[0-2]\d)", 1)
+    return F.coalesce(F.nullif(y, F.lit("")), F.lit("unknown"))
+
+
+def link_year(url: Column | str) -> Column:
+    """The first year from 1900 to 2099 in a link, else 'unknown'."""
+    return F.coalesce(F.nullif(F.regexp_extract(_c(url), r"((?:19|20)\d{2})", 1), F.lit("")), F.lit("unknown"))
 
 
-def sql_functions() -> list[str]:
-    """Names of the functions offered to SQL through expr()-able Columns."""
-    return sorted(_SQL)
+def download_name(url: Column | str, company: Column | str, year: Column | str) -> Column:
+    """company_year_file of a link, other characters of the file than word characters, dot and hyphen as _."""
+    file = F.regexp_extract(F.regexp_replace(_c(url), r"[?#].*$", ""), r"^[a-zA-Z]+://[^/]+/(?:.*/)?([^/]+)/?$", 1)
+    file = F.regexp_replace(F.coalesce(F.nullif(file, F.lit("")), F.lit("document.pdf")), r"[^A-Za-z0-9_.\-]", "_")
+    return F.concat_ws("_", _c(company), _c(year), file)
 
 
-def call(name: str, *args: Column | str) -> Column:
-    """A registered function by its name, for callers that hold names (plans read from configuration)."""
-    params, f = _SQL[name]
-    if len(args) != len(params):
-        raise TypeError(f"{name} takes {len(params)} argument(s)")
-    return f(*args)
+def recency(at: Column, year: Column, dates: list[Column]) -> Column:
+    """How recent a row is: its time in seconds, else its year as a number, else the first date that reads as one, else 0."""
+    seconds = [F.unix_timestamp(F.coalesce(F.try_to_timestamp(d.cast("string"), F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(d.cast("string"), F.lit("yyyy-MM-dd")))).cast("double") for d in dates]
+    return F.coalesce(F.unix_timestamp(at).cast("double"), year.cast("string").try_cast("double"), *seconds, F.lit(0.0))

@@ -91,6 +91,12 @@ def set_similar_pairs(df: DataFrame, order: str, name: str, address: str, least:
     return p.select(F.least("r1", "r2").alias("row_a"), F.greatest("r1", "r2").alias("row_b"), "name_score", "address_score")
 
 
+def removal_audit(pairs: DataFrame) -> DataFrame:
+    """(removed_row, kept_row, match_type, score) of pairs (row_a, row_b, match_type, score): for each later row the first pair that names it."""
+    best = F.min_by(F.struct("row_a", "match_type", "score"), F.struct("row_a", "match_type"))
+    return pairs.groupBy(F.col("row_b").alias("removed_row")).agg(best.alias("m")).select("removed_row", F.col("m.row_a").alias("kept_row"), "m.match_type", "m.score")
+
+
 def drop_earlier(pairs: DataFrame) -> DataFrame:
     """Removed rows: the earlier of each pair, with the smallest later row that it matches (which may itself go)."""
     return pairs.groupBy(F.col("row_a").alias("removed_row")).agg(F.min("row_b").alias("kept_row"))

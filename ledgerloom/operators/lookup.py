@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -86,3 +87,53 @@ def flag(df: DataFrame, criteria: dict[str, Column], mode: str = "or") -> DataFr
     ok = reduce(join, held.values())
     audit = F.concat_ws(",", *[F.when(v, F.lit(k)) for k, v in held.items()])
     return df.withColumns({"is_flagged": ok, "matched_criteria": F.when(ok, audit).otherwise("")})
+
+
+#: Named selections (values are fixed): least holding, least dividend in all, least dividend in one year, investor type, logic.
+PRESETS = {
+    "high_value": {"holding": 500, "total": 10_000, "single_year": 0, "investor_type": None, "logic": "or"},
+    "ultra_high_value": {"holding": 5_000, "total": 100_000, "single_year": 0, "investor_type": None, "logic": "and"},
+    "custom": {"holding": 0, "total": 0, "single_year": 0, "investor_type": None, "logic": "or"},
+}
+#: A column of one year's amounts.
+YEAR_AMOUNT = re.compile(r"(?=.*(dividend|amount)).*20[0-2]\d", re.I)
+
+
+def flag_preset(df: DataFrame, preset: str, **changes) -> DataFrame:
+    """Rows flagged by a named preset, some of its values changed; all rows stay.
+
+    A criterion counts if its value is above zero, or not blank, and its column is there:
+    current_holding, total_dividend, the largest of the columns of one year's amounts, and
+    investor_type without regard to case. If none counts, nothing is flagged. Unknown presets
+    and values raise.
+    """
+    if preset not in PRESETS:
+        raise ValueError(f"unknown preset {preset!r}; known are {', '.join(sorted(PRESETS))}")
+    if unknown := set(changes) - set(PRESETS[preset]):
+        raise ValueError(f"unknown values {sorted(unknown)}")
+    v = PRESETS[preset] | changes
+    years = [F.col(c) for c in df.columns if YEAR_AMOUNT.match(c)]
+    criteria = {}
+    if v["holding"] > 0 and "current_holding" in df.columns:
+        criteria["current_holding"] = F.col("current_holding") >= v["holding"]
+    if v["total"] > 0 and "total_dividend" in df.columns:
+        criteria["total_dividend"] = F.col("total_dividend") >= v["total"]
+    if v["single_year"] > 0 and years:
+        criteria["single_year_dividend"] = (F.greatest(*years) if len(years) > 1 else years[0]) >= v["single_year"]
+    if v["investor_type"] and "investor_type" in df.columns:
+        criteria["investor_type"] = F.lower(F.trim("investor_type")) == v["investor_type"].strip().lower()
+    return flag(df, criteria, v["logic"])
+
+
+def layered(rows: DataFrame, key: str, layers: list[DataFrame]) -> DataFrame:
+    """Rows with what the first layer that knows their key says, and contact_layer: its number from 1, or 0 if none does.
+
+    Each layer has the key once and the same other columns. Every layer is only asked for the rows
+    that the ones before left, so a dear layer sees few of them.
+    """
+    left, out = rows, None
+    for n, layer in enumerate(layers, 1):
+        hit = left.join(layer, key).withColumn("contact_layer", F.lit(n))
+        out = hit if out is None else out.unionByName(hit)
+        left = left.join(layer.select(key), key, "left_anti")
+    return out.unionByName(left.withColumn("contact_layer", F.lit(0)), allowMissingColumns=True)

@@ -133,8 +133,10 @@ def normalize(df: DataFrame, numbers: list[str], texts: list[str]) -> DataFrame:
 def append_keep_last(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Union of both; of rows with equal keys the last stays, new rows counting after old ones."""
     both = union_by_name([old.withColumn("__gen", F.lit(0)), new.withColumn("__gen", F.lit(1))])
-    w = Window.partitionBy(*keys).orderBy(F.desc("__gen"), F.desc(order))
-    return both.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__gen")
+    rest = [c for c in both.columns if c not in keys]
+    # By an aggregate with map-side combine; the other fields settle equal orders.
+    m = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("__gen", order, *[c for c in rest if c not in ("__gen", order)])).alias("m"))
+    return m.select(*keys, "m.*").select(*both.columns).drop("__gen")
 
 
 def chosen_name(df: DataFrame, file: str, parts: list[str], holder: str, name: str) -> DataFrame:

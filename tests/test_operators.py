@@ -260,3 +260,76 @@ def test_fuzzy_queries_miss_nothing_on_whole_tables(spark):
             best[k] = -i
     got = {r["row_id"]: r["contact_id"] for r in relational.j02_exact_then_fuzzy(spark, sf).where("match_type = 'name_address_fuzzy'").collect()}
     assert got == best
+
+
+# ---- presets, layers, star, search -------------------------------------------------------------
+
+
+def test_presets(spark):
+    df = spark.createDataFrame([(1, 600, 5.0, None, 3.0), (2, 5000, 200000.0, " hni ", None), (3, None, None, "Public", 900.0)], "id long, current_holding long, total_dividend double, investor_type string, dividend_2014_15 double")
+    got = lambda *a, **k: {r["id"]: r["matched_criteria"] for r in lookup.flag_preset(df, *a, **k).where("is_flagged").collect()}
+    assert got("high_value") == {1: "current_holding", 2: "current_holding,total_dividend"}
+    assert got("ultra_high_value") == {2: "current_holding,total_dividend"}
+    assert got("custom") == {}
+    assert got("custom", investor_type="HNI") == {2: "investor_type"}
+    assert got("custom", single_year=100) == {3: "single_year_dividend"}
+    assert lookup.flag_preset(df, "custom").count() == 3
+    for bad in (lambda: lookup.flag_preset(df, "nosuch"), lambda: lookup.flag_preset(df, "custom", nosuch=1)):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_layers_stop_at_the_first_hit(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    layer = lambda *x: spark.createDataFrame(list(x), "k string, phone string")
+    got = sorted(map(tuple, lookup.layered(rows, "k", [layer(("a", "1")), layer(("a", "2"), ("b", "3"))]).fillna("-", ["k", "phone"]).select("k", "phone", "contact_layer").collect()))
+    assert got == [("-", "-", 0), ("a", "1", 1), ("b", "3", 2), ("c", "-", 0)]
+
+
+def test_star_and_counts_of_odd_lines(spark):
+    s = "id long, name string, company string, folio string, year string, shares long, amount double"
+    rows = [(1, "A B", "X", "f1", "2014", 5, 1.0), (2, "a b", "x ", "F1", "2014", 6, 2.0), (3, "A B", "X", None, None, 7, 3.0), (4, " ", "X", "f", "2014", 1, 1.0), (5, "C", None, "f", "2014", 1, 1.0), (6, "D", "X", "f2", "2015", None, 0.0)]
+    n = {k: df.count() for k, df in store.star(spark.createDataFrame(rows, s), "id").items()}
+    assert n == {"persons": 2, "companies": 1, "holdings": 3, "snapshots": 2, "dividends": 1}
+    assert all(df.count() == 0 for df in store.star(spark.createDataFrame([], s), "id").values())
+    old = spark.createDataFrame([("1", "x")], "k string, v string")
+    new = spark.createDataFrame([("1", "y"), ("1", "z"), ("2", "a"), ("2", "b"), (" ", "c"), (None, "d")], "k string, v string")
+    assert tuple(store.upsert_counts(old, new, ["k"]).first()) == (1, 3, 2)
+    assert tuple(store.upsert_counts(old, new.limit(0), ["k"]).first()) == (0, 0, 0)
+    assert sorted(map(tuple, store.replaced(spark.createDataFrame([("1", 1), ("1", 2), ("", 3), (None, 4)], "k string, o long"), "k", "o").collect())) == [("1", 2)]
+
+
+def test_search_with_a_bad_amount_and_beyond_the_end(spark):
+    df = spark.createDataFrame([(i, "Acme", f"name {i}", float(i)) for i in range(10)], "id long, company_name string, name string, w double")
+    got = store.search(df, " ACME", "NAME", ["name"], "w", "plenty", [F.asc("id")], 2, 4).collect()
+    assert [r["id"] for r in got] == [4, 5, 6, 7] and got[0]["total"] == 10 and got[0]["pages"] == 3
+    assert store.search(df, "none", None, ["name"], "w", None, [F.asc("id")], 1, 4).count() == 0
+
+
+def test_best_row_of_a_hot_key(spark):
+    df = spark.createDataFrame([(i, "k" if i % 3 else None, i % 7) for i in range(300)], "id long, k string, v long")
+    got = sorted(r["id"] for r in dedup.keep_best(df, F.col("k"), [F.desc("v"), F.asc("id")]).collect())
+    assert got == sorted([13] + [i for i in range(0, 300, 3)])
+
+
+def test_sql_functions(spark):
+    from ledgerloom.functions import sql
+    from ledgerloom.functions import text as T
+
+    names = sql.register(spark)
+    df = spark.createDataFrame([(x,) for x in ("  o'neil  D.K. ", None, "", "₹ 1,234.50", "AB 12 c", "list-2014_15.pdf", "ÅSA é")], "s string")
+    same = {"ll_squeeze": T.squeeze, "ll_title_case": T.title_case, "ll_slug": T.slug, "ll_clean_folio": T.clean_folio, "ll_to_float": T.to_float, "ll_identity_name": T.identity_name, "ll_upload_year": T.upload_year}
+    assert sorted(same) == names
+    df.createOrReplaceTempView("odd_texts")
+    for n, f in same.items():
+        assert [r[0] for r in spark.sql(f"SELECT {n}(s) FROM odd_texts").collect()] == [r[0] for r in df.select(f("s")).collect()], n
+
+
+def test_file_and_link_names(spark):
+    from ledgerloom.functions import text as T
+
+    df = spark.createDataFrame([("Acme_Steel_IEPF_2019.pdf", "https://a.example/x/Acme list 2018.pdf?y=1"), ("ab_2011.pdf", "https://a.example/"), (".pdf", "nothing"), (None, None)], "f string, u string")
+    got = [tuple(r) for r in df.select(T.upload_company("f"), T.upload_year("f"), T.link_year("u"), T.download_name("u", F.lit("c"), F.lit("y"))).collect()]
+    assert got[0] == ("acme-steel", "2019", "2018", "c_y_Acme_list_2018.pdf")
+    assert got[1] == ("unknown", "2011", "unknown", "c_y_document.pdf")
+    assert got[2][:3] == ("unknown", "unknown", "unknown") and got[3][1] == "unknown"
