@@ -61,7 +61,9 @@ def canonical(text: Column) -> Column:
 def shape(text: Column) -> Column:
     """Digits as 9, letters as a, runs of letters as one."""
     s = F.regexp_replace(F.lower(F.trim(text)), r"\p{L}+", "a")
-    return F.substring(F.regexp_replace(s, r"\d", "9"), 1, 40)
+    # Long texts by their hash: a shape is only compared for being equal.
+    s = F.regexp_replace(s, r"\d", "9")
+    return F.when(F.length(s) > 40, F.hex(F.xxhash64(s))).otherwise(s)
 
 
 def file_pairs(files: DataFrame) -> DataFrame:
@@ -96,11 +98,15 @@ def column_links(files: DataFrame, records: DataFrame) -> tuple[DataFrame, DataF
     c = cells(records).withColumns({"key": header_key(F.col("header")), "div": dividend_year(F.col("header"))})
     # Read many times below: cells, columns and open pairs are written once to the shared folder.
     c = checkpointed(c.withColumns({"canon": canonical(F.col("text")), "shape": shape(F.col("text"))}))
-    n = lambda k: F.count(F.when(F.col("kind") == k, 1))
+    # Counted by value first, so that distinct values are exact and a large column is no task of its own.
+    values = c.groupBy("file_id", "key", "canon", "kind").agg(F.min("header").alias("header"), F.first("div").alias("div"), F.count(F.lit(1)).alias("n"))
+    kinds = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k_{k}")
+    values = values.groupBy("file_id", "key", "canon").agg(F.min("header").alias("header"), F.first("div").alias("div"), kinds("number"), kinds("string"), kinds("boolean"), F.sum(F.when(F.col("canon").isNotNull(), F.col("n")).otherwise(0)).alias("n_c"))
+    n = lambda k: F.sum(f"k_{k}")
     columns = (
-        c.groupBy("file_id", "key")
+        values.groupBy("file_id", "key")
         .agg(F.min("header").alias("header"), F.first("div").alias("div"), n("number").alias("n_number"), n("string").alias("n_string"), n("boolean").alias("n_boolean"),
-             F.count("canon").alias("n_canon"), F.approx_count_distinct("canon").alias("n_values"))
+             F.sum("n_c").alias("n_canon"), F.count("canon").alias("n_values"))
         .withColumn("kind", F.when(F.greatest("n_number", "n_string", "n_boolean") == 0, None)
                     .when((F.col("n_number") >= F.col("n_string")) & (F.col("n_number") >= F.col("n_boolean")), "number")
                     .when(F.col("n_string") >= F.col("n_boolean"), "string").otherwise("boolean"))

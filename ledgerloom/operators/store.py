@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.dedup import keep_best
+
 
 def upsert(old: DataFrame, batch: DataFrame, keys: list[str], order: str, created: str) -> DataFrame:
     """The table after the batch: the last row of each key in the batch wins, creation times are kept.
@@ -28,8 +30,7 @@ def insert_absent(old: DataFrame, batch: DataFrame, keys: list[str], order: list
     new = batch
     for k in keys:
         new = new.join(old.select(k).where(f"{k} is not null").distinct(), k, "left_anti")
-    w = Window.partitionBy(keys[0]).orderBy(*order)
-    return new.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return keep_best(new, F.col(keys[0]), order)
 
 
 def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:

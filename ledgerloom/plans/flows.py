@@ -122,14 +122,18 @@ def s19_links(spark, sf):
     return ingest.links(_pages(spark, sf), "page_id", "html", ["unclaimed", "dividend", "unpaid", "iepf"]).select("page_id", "pos", "href", "score")
 
 
-@query("SELECT id AS page_id, '/' || lower(nse_symbol) || '/unpaid.pdf' AS href, 1 AS place FROM companies WHERE nse_symbol IS NOT NULL")
+@query("SELECT id AS page_id, '/' || lower(nse_symbol) || '/unpaid.pdf' AS href, 1 AS place FROM companies WHERE nse_symbol IS NOT NULL UNION ALL SELECT id, '/iepf/' || lower(nse_symbol), 2 FROM companies WHERE nse_symbol IS NOT NULL")
 def s20_best_links(spark, sf):
-    return ingest.best_links(s19_links(spark, sf), "page_id", 1).select("page_id", "href", "place")
+    return ingest.best_links(s19_links(spark, sf), "page_id", 5).select("page_id", "href", "place")
 
 
-@query("SELECT CAST(id AS VARCHAR) AS id, company_name, CAST(current_holding AS VARCHAR) AS current_holding FROM shareholders")
+#: Columns of the largest table whose text is the same in every engine (all but the amount, whose digits are not).
+_TEXTS = ("id", "folio_no", "company_name", "demat_account", "full_name", "father_husband_name", "address", "city", "state", "pincode", "current_holding", "source_pdf", "pdf_financial_year", "date_processed", "mobile_number", "email_id", "created_at")
+
+
+@query("SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _TEXTS) + " FROM shareholders")
 def s05_all_text(spark, sf):
-    return ingest.all_text(table(spark, sf, "shareholders").select("id", "company_name", "current_holding"))
+    return ingest.all_text(table(spark, sf, "shareholders").select(*_TEXTS))
 
 
 @query("SELECT event_id, coalesce(TRY_CAST(json_extract(props, '$.k') AS INT), 0) AS k, 'none' AS missing FROM events")

@@ -60,42 +60,37 @@ def row01_normalize(spark, sf):
     return merge.normalize(s, ["current_holding"], ["name"])
 
 
+#: The years a holding snapshot can be of, as columns of the wide form.
+WIDE_YEARS = range(2010, 2030)
+_VARIANTS = ("", "final_", "interim_")
+_fy = lambda y: f"{y}_{(y + 1) % 100:02d}"
+
+
 def _wide(spark, sf):
-    """One row a holding with a column for each of three years in up to three variants."""
+    """One row a holding with a column for each year in three variants."""
     h = _t(spark, sf, "holding_snapshots").withColumn("y", fy_start("financial_year")).groupBy("holding_id")
     year = lambda y, v: F.max(F.when((F.col("y") == y) & (F.pmod("id", F.lit(3)) == v), F.col("market_value")))
-    return h.agg(
-        *[year(y, 0).alias(f"dividend_fy_{y}_{(y + 1) % 100:02d}") for y in (2014, 2015, 2016)],
-        *[year(y, 1).alias(f"dividend_final_fy_{y}_{(y + 1) % 100:02d}") for y in (2014, 2015)],
-        year(2014, 2).alias("dividend_interim_fy_2014_15"),
-    )
+    return h.agg(*[year(y, v).alias(f"dividend_{n}fy_{_fy(y)}") for v, n in enumerate(_VARIANTS) for y in WIDE_YEARS])
 
 
 _WIDE = (
-    "w AS (SELECT holding_id, " + ", ".join(f"max(CASE WHEN y = {y} AND id % 3 = {v} THEN market_value END) AS {n}" for y, v, n in (
-        (2014, 0, "b14"), (2015, 0, "b15"), (2016, 0, "b16"), (2014, 1, "f14"), (2015, 1, "f15"), (2014, 2, "i14")))
+    "w AS (SELECT holding_id, " + ", ".join(f"max(CASE WHEN y = {y} AND id % 3 = {v} THEN market_value END) AS {n}{y}" for v, n in enumerate("bfi") for y in WIDE_YEARS)
     + f" FROM (SELECT *, {_FY.format('financial_year')} AS y FROM holding_snapshots) GROUP BY 1)"
 )
+_MOST = {y: f"greatest(coalesce(b{y}, 0), coalesce(f{y}, 0), coalesce(i{y}, 0))" for y in WIDE_YEARS}
 
 
-@query(
-    "WITH " + _WIDE + """
-SELECT holding_id, greatest(coalesce(b14, 0), coalesce(f14, 0), coalesce(i14, 0)) AS dividend_fy_2014_15, greatest(coalesce(b15, 0), coalesce(f15, 0)) AS dividend_fy_2015_16, coalesce(b16, 0) AS dividend_fy_2016_17,
-  round(greatest(coalesce(b14, 0), coalesce(f14, 0), coalesce(i14, 0)) + greatest(coalesce(b15, 0), coalesce(f15, 0)) + coalesce(b16, 0), 2) AS total_dividend FROM w"""
-)
+@query(f"WITH {_WIDE} SELECT holding_id, " + ", ".join(f"{m} AS dividend_fy_{_fy(y)}" for y, m in _MOST.items()) + f", round({' + '.join(_MOST.values())}, 2) AS total_dividend FROM w")
 def row03_consolidate(spark, sf):
-    """Variants of one year folded into its greatest, and the total over the years."""
+    """Variants of each year folded into its greatest, and the total over all years."""
     return merge.total_dividend(merge.consolidate(_wide(spark, sf))).withColumn("total_dividend", F.round("total_dividend", 2))
 
 
-@query(
-    "WITH " + _WIDE + """
-SELECT holding_id, CASE WHEN b14 > 0 THEN b14 WHEN f14 > 0 THEN f14 WHEN i14 > 0 THEN i14 ELSE 0.0 END AS fy14, CASE WHEN b15 > 0 THEN b15 WHEN f15 > 0 THEN f15 ELSE 0.0 END AS fy15 FROM w"""
-)
+@query(f"WITH {_WIDE} SELECT holding_id, " + ", ".join(f"CASE WHEN b{y} > 0 THEN b{y} WHEN f{y} > 0 THEN f{y} WHEN i{y} > 0 THEN i{y} ELSE 0.0 END AS fy{y}" for y in WIDE_YEARS) + " FROM w")
 def row02_unified(spark, sf):
-    """Per year the first positive of base, final, interim."""
+    """For each year the first positive of base, final, interim."""
     w = _wide(spark, sf)
-    return w.select("holding_id", merge.first_positive([F.col("dividend_fy_2014_15"), F.col("dividend_final_fy_2014_15"), F.col("dividend_interim_fy_2014_15")]).alias("fy14"), merge.first_positive([F.col("dividend_fy_2015_16"), F.col("dividend_final_fy_2015_16")]).alias("fy15"))
+    return w.select("holding_id", *[merge.first_positive([F.col(f"dividend_{n}fy_{_fy(y)}") for n in _VARIANTS]).alias(f"fy{y}") for y in WIDE_YEARS])
 
 
 @query("SELECT id, row_number() OVER (ORDER BY id) AS sr_no FROM shareholders")
@@ -438,14 +433,12 @@ def m03_star_keys(spark, sf):
     return number(p, "person").unionByName(number(c, "company"))
 
 
-@query(
-    """
-WITH n AS (SELECT id, name, nse_symbol FROM companies WHERE id % 4 = 0), o AS (SELECT name, nse_symbol FROM companies WHERE id % 8 = 0)
-SELECT id FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.name = n.name) AND NOT EXISTS (SELECT 1 FROM o WHERE o.nse_symbol = n.nse_symbol)"""
-)
+@query("SELECT min(id) AS id, trim(company_name) AS name FROM shareholders s WHERE trim(coalesce(company_name, '')) <> '' AND NOT EXISTS (SELECT 1 FROM companies c WHERE c.name = trim(s.company_name) OR c.name_normalized = trim(s.company_name)) GROUP BY 2")
 def m06_insert_absent(spark, sf):
-    c = _t(spark, sf, "companies").select("id", "name", "nse_symbol")
-    return store.insert_absent(c.where("id % 8 = 0"), c.where("id % 4 = 0"), ["name", "nse_symbol"], [F.asc("id")]).select("id")
+    """Company names of the register that the list of companies has under neither name, with their first line."""
+    name = F.nullif(F.trim("company_name"), F.lit(""))
+    batch = _t(spark, sf, "shareholders").select("id", name.alias("name"), name.alias("name_normalized")).where("name is not null")
+    return store.insert_absent(_t(spark, sf, "companies"), batch, ["name", "name_normalized"], [F.asc("id")]).select("id", "name")
 
 
 @query("SELECT register_id, CASE WHEN register_id = 2 THEN 'archived' ELSE status END AS status FROM progress_status")
@@ -503,14 +496,15 @@ _PROVIDERS = "('inhouse_db', 1), ('mca', 2), ('iepf', 3), ('apollo', 4)"
 @query(
     f"""
 WITH pr AS (SELECT * FROM (VALUES {_PROVIDERS}) v(source, priority)),
-r AS (SELECT try_cast(trim(shareholder_id) AS BIGINT) AS id, pr.source, pr.priority, max(contact_number) AS phone, max(email) AS email FROM contact_results JOIN pr USING (source) GROUP BY ALL),
+r AS (SELECT try_cast(trim(shareholder_id) AS BIGINT) AS id, source, priority, max(contact_number) AS phone, max(email) AS email FROM (SELECT r.*, coalesce(pr.priority, 9) AS priority FROM contact_results r LEFT JOIN pr USING (source)) GROUP BY ALL),
 w AS (SELECT id, min(priority) FILTER (WHERE phone IS NOT NULL OR email IS NOT NULL) AS best, max(priority) AS last FROM r GROUP BY id)
 SELECT w.id, r.source, r.phone, r.email, coalesce(w.best, w.last) AS attempts FROM w LEFT JOIN r ON r.id = w.id AND r.priority = w.best"""
 )
 def e02_first_provider(spark, sf):
     """Ordered sources, the first with a telephone or mail wins."""
     pr = spark.createDataFrame([("inhouse_db", 1), ("mca", 2), ("iepf", 3), ("apollo", 4)], "source string, priority int")
-    r = _t(spark, sf, "contact_results").withColumn("id", F.trim("shareholder_id").try_cast("long")).join(F.broadcast(pr), "source")
+    r = _t(spark, sf, "contact_results").withColumn("id", F.trim("shareholder_id").try_cast("long")).join(F.broadcast(pr), "source", "left")
+    r = r.withColumn("priority", F.coalesce("priority", F.lit(9)))  # sources not in the list come last
     r = r.groupBy("id", "source", "priority").agg(F.max("contact_number").alias("phone"), F.max("email").alias("email"))
     return lookup.first_provider(r.select("id").distinct(), r, "id", F.col("phone").isNotNull() | F.col("email").isNotNull())
 

@@ -97,17 +97,18 @@ def f10_name_parts(spark, sf):
 
 @query(
     r"""
-WITH f AS (SELECT source_pdf, max(CASE WHEN trim(coalesce(father_husband_name, '')) <> '' THEN 1 ELSE 0 END) AS h FROM shareholders GROUP BY 1)
-SELECT s.id, CASE WHEN f.h = 1 THEN trim(coalesce(s.father_husband_name, '')) ELSE trim(coalesce(s.full_name, '')) END AS chosen_name
-FROM shareholders s LEFT JOIN f ON s.source_pdf IS NOT DISTINCT FROM f.source_pdf AND s.source_pdf IS NOT NULL
-WHERE s.source_pdf IS NOT NULL"""
+WITH s AS (SELECT id, source_pdf, full_name, father_husband_name, CASE WHEN company_name < 'M' THEN coalesce(list_filter(regexp_split_to_array(trim(coalesce(full_name, '')), '\s+'), lambda x: x <> '')[1], '') ELSE '' END AS p1, coalesce(city, '') AS p2 FROM shareholders),
+f AS (SELECT source_pdf, max(CASE WHEN p1 <> '' THEN 1 ELSE 0 END) AS p, max(CASE WHEN trim(coalesce(father_husband_name, '')) <> '' THEN 1 ELSE 0 END) AS h FROM s WHERE source_pdf IS NOT NULL GROUP BY 1)
+SELECT s.id, CASE WHEN f.p = 1 THEN concat_ws(' ', nullif(trim(p1), ''), nullif(trim(p2), '')) WHEN f.h = 1 THEN trim(coalesce(s.father_husband_name, '')) ELSE trim(coalesce(s.full_name, '')) END AS chosen_name
+FROM s LEFT JOIN f ON s.source_pdf = f.source_pdf"""
 )
 def f11_name_choice(spark, sf):
-    """The column a whole file takes its names from (no file here prints name parts: they are blank)."""
+    """The column a whole file takes its names from: name parts, which files of some companies have, else holder, else name."""
     from ledgerloom.operators.merge import chosen_name
 
-    d = table(spark, sf, "shareholders").where("source_pdf is not null").select("id", "source_pdf", "full_name", "father_husband_name", *[F.lit("").alias(c) for c in ("p1", "p2", "p3")])
-    return chosen_name(d, "source_pdf", ["p1", "p2", "p3"], "father_husband_name", "full_name").select("id", "chosen_name")
+    s = table(spark, sf, "shareholders")
+    d = s.select("id", "source_pdf", "full_name", "father_husband_name", F.when(F.col("company_name") < "M", T.name_parts("full_name")["first"]).otherwise("").alias("p1"), F.coalesce("city", F.lit("")).alias("p2"))
+    return chosen_name(d, "source_pdf", ["p1", "p2"], "father_husband_name", "full_name").select("id", "chosen_name")
 
 
 @query(
