@@ -24,7 +24,7 @@ CLOSE = 64
 #: While more of a container than this is free its seed's nearest neighbours are taken whatever their
 #: size; then the nearest of those that fill it to within SLACK of the best fit.
 FREE, SLACK = 0.5, 0.05
-#: A term in more than this share of a shard's documents tells no neighbours apart.
+#: Terms in more than this share of a shard's documents are kept as rows over all documents, which add up faster than postings.
 COMMON = 0.25
 
 _WORD = re.compile(r"\w+")
@@ -74,7 +74,14 @@ class Index:
         norm = K1 * (1 - B + B * length / max(1.0, length.mean() if n else 1.0))
         self.forward = (idf[tid] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32) if len(tid) else np.zeros(0, np.float32)
         self.weight = self.forward[order]
-        self.useful = (df > 1) & (df <= max(1, COMMON * n)) if len(df) else np.zeros(0, bool)
+        self.useful = df > 1 if len(df) else np.zeros(0, bool)
+        common = np.flatnonzero(self.useful & (df > COMMON * n)) if len(df) else np.zeros(0, int)
+        self.row = np.full(len(ids), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), n), np.float32)
+        for k, t in enumerate(common):
+            span = slice(self.at[t], self.at[t + 1])
+            self.dense[k, self.doc[span]] = self.weight[span]
 
     def scores(self, d: int) -> np.ndarray:
         """BM25 of every document for document d as the query; kept, as every capacity asks for much the same seeds."""
@@ -87,9 +94,12 @@ class Index:
         q = q[self.useful[q]] if len(q) else q
         if not len(q):
             return np.zeros(self.n, np.float32)
-        spans = [slice(self.at[t], self.at[t + 1]) for t in q]
-        return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n).astype(np.float32)
-
+        row = self.row[q]
+        out = self.dense[row[row >= 0]].sum(axis=0)
+        spans = [slice(self.at[t], self.at[t + 1]) for t in q[row < 0]]
+        if spans:
+            out = out + np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
+        return out.astype(np.float32)
 
     def scores_of(self, d: int, docs: np.ndarray) -> np.ndarray:
         """The same for a few documents only, from their own terms."""
@@ -222,9 +232,9 @@ def packed(documents: DataFrame, containers: DataFrame) -> DataFrame:
     docs = documents.where("doc_id is not null").select(
         "doc_id", "text", F.coalesce(F.col("n_tokens").cast("long"), F.octet_length("text").cast("long"), F.lit(0).cast("long")).alias("size"), F.lower(F.substring(F.coalesce("lang", F.lit("")), 1, 2)).alias("__lang")
     )
-    if documents.rdd.getNumPartitions() == 0:
-        return spark.createDataFrame([], SCHEMA).drop("open")
     n = docs.count()
+    if not n:
+        return spark.createDataFrame([], SCHEMA).drop("open")
     shards = max(1, math.ceil(n / SHARD))
     # Neighbours by a cheap sign: the smallest hash of the longer words (texts with much in common share it often).
     word = F.array_min(F.transform(F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}]+"), lambda w: F.length(w) >= 6), lambda w: F.xxhash64(w)))
