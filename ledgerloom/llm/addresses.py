@@ -259,7 +259,7 @@ def deletions(word: Column) -> Column:
     n = F.length(word)
     one = F.when(n >= 4, cut(word)).otherwise(F.array())
     two = F.when(n >= 8, F.flatten(F.transform(cut(word), cut))).otherwise(F.array())
-    return F.array_distinct(F.concat(F.array(word), one, two))
+    return F.concat(F.array(word), one, two)
 
 
 def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = frozenset()) -> DataFrame:
@@ -304,20 +304,24 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
     astray = slim.where("own = ''").join(by_street.select("aid", "side").unionByName(guessed.select("aid", "side")), ["aid", "side"], "left_anti")
     guessed = guessed.unionByName(astray.join(usual(["name"], 400), "name").select("aid", "side", "block"))
     blocks = checkpointed(slim.where("own <> ''").select("aid", "side", F.col("own").alias("block")).unionByName(placed).unionByName(guessed).distinct())
-    a = both.where((unit != "") | (number != "")).select("aid", "side", "parts", called.alias("name"), key.alias("key")).join(blocks, ["aid", "side"])
+    a = both.where((unit != "") | (number != "")).select("aid", "side", called.alias("name"), key.alias("key")).join(blocks, ["aid", "side"])
     s = slim.select("aid", "side", "name").join(blocks, ["aid", "side"]).select("side", "block", "name").distinct()
     # A swap is one edit and counts as two for levenshtein.
-    d = s.select("side", "name").distinct().withColumn("v", F.explode(deletions(F.col("name"))))
+    # Neighbours are joined by the hash of what is left; a collision is no neighbour by levenshtein.
+    d = s.select("side", "name").distinct().withColumn("v", F.explode(F.array_distinct(F.transform(deletions(F.col("name")), lambda w: F.xxhash64(w)))))
     dl = d.where("side = 'l'").select("v", F.col("name").alias("l_name"))
     dr = d.where("side = 'r'").select("v", F.col("name").alias("r_name"))
     spelt = dl.join(dr, "v").select("l_name", "r_name").distinct().where("levenshtein(l_name, r_name) <= 4")
     sl = s.where("side = 'l'").select("block", F.col("name").alias("l_name"))
     sr = s.where("side = 'r'").select("block", F.col("name").alias("r_name"))
     near = checkpointed(sr.join(checkpointed(spelt), "r_name").join(sl, ["block", "l_name"]))
-    al = a.where("side = 'l'").select("block", "key", F.col("name").alias("l_name"), F.col("aid").alias("l_aid"), F.col("parts").alias("x"))
-    ar = a.where("side = 'r'").select("block", "key", F.col("name").alias("r_name"), F.col("aid").alias("r_aid"), F.col("parts").alias("y"))
+    al = a.where("side = 'l'").select("block", "key", F.col("name").alias("l_name"), F.col("aid").alias("l_aid"))
+    ar = a.where("side = 'r'").select("block", "key", F.col("name").alias("r_name"), F.col("aid").alias("r_aid"))
     # The side of the contacts is the smaller: it takes the near streets of the other side first.
-    pairs = ar.join(near, ["block", "r_name"]).join(al, ["block", "l_name", "key"])
+    pairs = ar.join(near, ["block", "r_name"]).join(al, ["block", "l_name", "key"]).select("l_aid", "r_aid").distinct()
+    # The addresses themselves are only fetched for pairs that met, once however often they did.
+    text = lambda i, x: both.where(F.col("side") == i[0]).select(F.col("aid").alias(i), F.col("parts").alias(x))
+    pairs = pairs.join(text("r_aid", "y"), "r_aid").join(text("l_aid", "x"), "l_aid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -328,7 +332,7 @@ def address_links(left: DataFrame, right: DataFrame, states: frozenset[str] = fr
                     out_r.append(j)
             yield pa.RecordBatch.from_arrays([pa.array(out_l, pa.int64()), pa.array(out_r, pa.int64())], ["l_aid", "r_aid"])
 
-    return pairs.select("l_aid", "r_aid", "x", "y").mapInArrow(run, "l_aid long, r_aid long").distinct()
+    return pairs.select("l_aid", "r_aid", "x", "y").mapInArrow(run, "l_aid long, r_aid long")
 
 
 def state_words(df: DataFrame, column: str = "state", bound: int = 10_000) -> frozenset[str]:
