@@ -251,7 +251,20 @@ def j06_known_company(spark, sf):
     return fuzzy.containing(f, c, "stem", "name_normalized").groupBy("stem").agg(F.min("id").alias("company_id"))
 
 
-@query()
+_DIM = "array_to_string(list_sort(list_filter(regexp_split_to_array(trim(lower(regexp_replace({0}, '[^A-Za-z0-9 ]', ' ', 'g'))), '\\s+'), lambda x: x <> '')), ' ')"
+
+
+@query(
+    f"""
+WITH k AS (SELECT DISTINCT company_name AS key, {_DIM.format("company_name")} AS kn FROM shareholders WHERE company_name IS NOT NULL),
+d AS (SELECT {_DIM.format("name")} AS dn, min(name) AS name FROM companies GROUP BY 1),
+e AS (SELECT key, name, 100.0 AS score FROM k JOIN d ON kn = dn WHERE kn <> ''),
+t AS (SELECT DISTINCT kn FROM k WHERE kn <> '' AND key NOT IN (SELECT key FROM e)),
+p AS (SELECT kn, dn, name FROM t JOIN d ON dn <> '' AND 200.0 * least(length(kn), length(dn)) / (length(kn) + length(dn)) > 80),
+s AS (SELECT kn, name, 200.0 * ({_lcs("kn", "dn")}) / (length(kn) + length(dn)) AS score FROM p),
+b AS (SELECT kn, arg_min(name, (-score, name)) AS name, max(score) AS score FROM s WHERE score > 80 GROUP BY kn)
+SELECT key, name, round(score, 6) AS score FROM e UNION ALL SELECT key, name, round(score, 6) FROM k JOIN b USING (kn) WHERE key NOT IN (SELECT key FROM e)"""
+)
 def j07_best_dimension(spark, sf):
     """Printed company names looked up in the list of companies, exact else most similar."""
     return lookup.best_dimension(_t(spark, sf, "shareholders").select("company_name").where("company_name is not null"), _t(spark, sf, "companies"), "company_name", "name").withColumn("score", F.round("score", 6))

@@ -172,10 +172,26 @@ def f23_token_sort(spark, sf):
     return d.select("id", F.round(token_sort_ratio(F.lower("name_raw"), F.col("name_normalized")), 6).alias("sort_score"))
 
 
-@query()
+_SPLIT = "list_distinct(list_filter(regexp_split_to_array({0}, '[\\s\\x{{A0}}]+'), lambda x: x <> ''))"
+_RATIO = "CASE WHEN length({0}) + length({1}) = 0 THEN 100.0 ELSE 200.0 * ({2}) / (length({0}) + length({1})) END"
+
+
+def _lcs_of(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE " + _LCS.replace("length(b)", f"length({b})").replace("length(a)", f"length({a})").replace(" b[j", f" {b}[j").replace("= a[c", f"= {a}[c") + " END"
+
+
+@query(
+    f"""
+WITH n AS (SELECT id, lower(name_raw) AS na, name_normalized AS nb, {_SPLIT.format("lower(name_raw)")} AS wx, {_SPLIT.format("name_normalized")} AS wy FROM persons WHERE name_raw IS NOT NULL AND name_normalized IS NOT NULL),
+w AS (SELECT *, array_to_string(list_sort(list_filter(wx, lambda x: list_contains(wy, x))), ' ') AS ts, array_to_string(list_sort(list_filter(wx, lambda x: NOT list_contains(wy, x))), ' ') AS tp, array_to_string(list_sort(list_filter(wy, lambda x: NOT list_contains(wx, x))), ' ') AS tq FROM n),
+v AS (SELECT *, trim(ts || ' ' || tp) AS sp, trim(ts || ' ' || tq) AS sq FROM w)
+SELECT id, round({_RATIO.format("na", "nb", _lcs_of("na", "nb"))}, 6) AS plain_score,
+  round(CASE WHEN len(wx) = 0 OR len(wy) = 0 THEN 0 WHEN ts <> '' AND (tp = '' OR tq = '') THEN 100 WHEN ts = '' THEN {_RATIO.format("tp", "tq", _lcs_of("tp", "tq"))}
+    ELSE greatest({_RATIO.format("sp", "sq", _lcs_of("sp", "sq"))}, 200.0 * length(ts) / (length(ts) + length(sp)), 200.0 * length(ts) / (length(ts) + length(sq))) END, 6) AS set_score FROM v"""
+)
 def f24_token_set(spark, sf):
     d = table(spark, sf, "persons").where("name_raw is not null and name_normalized is not null")
-    return d.select("id", token_set_ratio(F.lower("name_raw"), F.col("name_normalized")).alias("set_score"), ratio(F.lower("name_raw"), F.col("name_normalized")).alias("plain_score"))
+    return d.select("id", F.round(token_set_ratio(F.lower("name_raw"), F.col("name_normalized")), 6).alias("set_score"), F.round(ratio(F.lower("name_raw"), F.col("name_normalized")), 6).alias("plain_score"))
 
 
 _TEXTS = ("folio_no", "company_name", "demat_account", "full_name", "address", "city", "state", "pincode")
