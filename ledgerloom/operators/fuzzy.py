@@ -51,7 +51,7 @@ def alike(left: DataFrame, right: DataFrame | None, least: float, sets: bool = F
 
     The score is the insert/delete ratio, or with sets the token-set ratio. No pair is missed: two
     texts at the threshold share a computable number of letter pairs, so one of them is among the
-    rarest few of each (with sets, where one text may be far longer, among the rarest few of one and
+    rarest few of each (with sets, where one text may hold the other, also among the very rarest of one and
     anywhere in the other). The join is on these; a pair is judged under the first one only, and
     its letter pairs are counted before it is scored. Frequent letter pairs are compared in parts
     of held rows, so no task holds them all.
@@ -79,18 +79,24 @@ def alike(left: DataFrame, right: DataFrame | None, least: float, sets: bool = F
     counts = rows.select("text").mapInArrow(counted, "s int, n long").groupBy("s").agg(F.sum("n").alias("n")).collect()  # at most COUNTERS rows
     sent = spark.sparkContext.broadcast({r[0]: r[1] for r in counts})
 
-    def ordered(text: str) -> tuple[list[str], int]:
-        """Letter pairs, rarest first, and how many of them one of which must be shared."""
+    def ordered(text: str) -> tuple[list[str], int, int]:
+        """Letter pairs, rarest first; how many of them one of which must be shared with a prefix of the other
+        side; and how many of which one must stand anywhere on the other side where that holds most of this text."""
         f = sent.value
         words = " ".join(sorted(set(text.split()))) if sets else text
         gs = sorted(letter_pairs(words), key=lambda g: (f.get(_slot(g), 0), g))
-        return gs, len(gs) - least_shared(math.ceil(len(words) * 2 / (2 - tau) - 1e-9), tau) + 1
+        n = len(words)
+        return gs, len(gs) - least_shared(math.ceil(n * 2 / (2 - tau) - 1e-9), tau) + 1, len(gs) - _held(n) + 1
+
+    def _held(n: int) -> int:
+        """Letter pairs of a text of n characters that are shared if its common words make up tau / (2 - tau) of it."""
+        return math.ceil(n * tau / (2 - tau) + 1 - 1e-9)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             side, ids, text, gram = [], [], [], []
             for s, i, t in zip(*(b.column(k).to_pylist() for k in range(3))):
-                gs, head = ordered(t)
+                gs, head, _ = ordered(t)
                 for g in gs if sets else gs[:head]:
                     side.append(s)
                     ids.append(i)
@@ -101,54 +107,66 @@ def alike(left: DataFrame, right: DataFrame | None, least: float, sets: bool = F
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         l, r, score = [], [], []
         memo: dict[str, tuple] = {}
+        none: frozenset[str] = frozenset()
 
         def entry(t: str) -> tuple:
             e = memo.get(t)
             if e is None:
                 if len(memo) > 50_000:
                     memo.clear()
-                gs, head = ordered(t)
-                e = memo[t] = (gs[:head], {g: k for k, g in enumerate(gs)})
+                gs, head, short = ordered(t)
+                e = memo[t] = (gs, head, short if sets else 0, {g: k for k, g in enumerate(gs)}, frozenset(gs))
             return e
 
-        def first(x: tuple, y: tuple) -> str | None:
-            """The first of the rarest letter pairs by which the two meet."""
-            f = sent.value
-            a = next((g for g in x[0] if g in y[1]), None)
-            b = next((g for g in y[0] if g in x[1]), None)
-            if not sets:
-                return a if a is not None and b is not None else None
-            return min((g for g in (a, b) if g is not None), key=lambda g: (f.get(_slot(g), 0), g), default=None)
+        def met(x: tuple, y: tuple) -> None:
+            own, side, i, t, n = x[:5]
+            own2, side2, j, u, m = y[:5]
+            if (side == side2) != one or one and i == j:
+                return
+            # Another part of the same block, or an earlier letter pair by which the two meet.
+            if not x[5].isdisjoint(y[5]) or sets and not (x[6].isdisjoint(y[7]) and y[6].isdisjoint(x[7])):
+                return
+            c = len(x[7] & y[7])
+            need = least_shared(n + m, tau)
+            if c < (min(need, _held(min(n, m))) if sets else need):
+                return
+            s = token_set(t, u) if sets else plain(t, u)
+            if s >= least - 1e-9:
+                a, b = (j, i) if (one and j < i) or (not one and side2 == 0) else (i, j)
+                l.append(a)
+                r.append(b)
+                score.append(s)
 
         def out(g: str, p: int, q: int, group: list[tuple]) -> None:
-            es = [(own, side, i, t, entry(t)) for own, side, i, t in group]
-            for n, (own, side, i, t, x) in enumerate(es):
-                for own2, side2, j, u, y in es[:n]:
-                    if (side == side2) != one or p != q and own == own2 or one and i == j:
-                        continue
-                    if not sets:
-                        size = len(t) + len(u)
-                        if 2 * min(len(t), len(u)) < tau * size - 1e-9:
-                            continue
-                    if first(x, y) != g:
-                        continue
-                    if not sets and len(x[1].keys() & y[1].keys()) < least_shared(size, tau):
-                        continue
-                    s = token_set(t, u) if sets else plain(t, u)
-                    if s >= least - 1e-9:
-                        a, b = (j, i) if (one and j < i) or (not one and side2 == 0) else (i, j)
-                        l.append(a)
-                        r.append(b)
-                        score.append(s)
+            heads, rest = [], []
+            for own, side, i, t in group:
+                gs, head, short, at, every = entry(t)
+                k = at[g]
+                n = len(gs) - 1
+                x = (own, side, i, t, n, frozenset(gs[: min(k, head)]), frozenset(gs[: min(k, short)]) if sets else none, every, k < short)
+                (heads if k < head else rest).append(x)
+            heads.sort(key=lambda x: x[4])
+            start = 0
+            for n, x in enumerate(heads):
+                if not sets:
+                    while heads[start][4] < tau / (2 - tau) * x[4] - 1e-9:
+                        start += 1
+                for y in heads[start:n]:
+                    if p == q or x[0] != y[0]:
+                        met(x, y)
+                if x[8]:
+                    for y in rest:
+                        if p == q or x[0] != y[0]:
+                            met(x, y)
 
         now, group = None, []
         for b in batches:
-            for g, p, q, *rest in zip(*(b.column(k).to_pylist() for k in range(7))):
+            for g, p, q, *more in zip(*(b.column(k).to_pylist() for k in range(7))):
                 if (g, p, q) != now:
                     if len(group) > 1:
                         out(*now, group)
                     now, group = (g, p, q), []
-                group.append(tuple(rest))
+                group.append(tuple(more))
             yield pa.RecordBatch.from_arrays([pa.array(l, pa.int64()), pa.array(r, pa.int64()), pa.array(score, pa.float64())], ["l", "r", "score"])
             l.clear(), r.clear(), score.clear()
         if len(group) > 1:
