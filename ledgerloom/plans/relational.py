@@ -522,14 +522,22 @@ def e02_first_provider(spark, sf):
     return lookup.first_provider(r.select("id").distinct(), r, "id", F.col("phone").isNotNull() | F.col("email").isNotNull())
 
 
-@query()
+@query(
+    rf"""
+WITH a AS (SELECT id, lower(name) AS x, lower(inhouse_name) AS y, regexp_replace(regexp_replace(coalesce(contact_number, ''), '[^0-9]', '', 'g'), '^(0091|091)', '91') AS d FROM contact_results),
+b AS (SELECT id, x, y, CASE WHEN length(d) = 11 AND d[1] = '0' THEN d[2:] ELSE d END AS d FROM a),
+c AS (SELECT id, x, y, CASE WHEN length(d) = 10 THEN '91' || d ELSE d END AS d FROM b),
+e AS (SELECT id, d, CASE WHEN length(x) + length(y) = 0 THEN 1.0 WHEN x IS NOT NULL AND y IS NOT NULL THEN 2.0 * ({_lcs("x", "y")}) / (length(x) + length(y)) END AS s FROM c)
+SELECT id, CASE WHEN regexp_full_match(d, '91[6-9]\d{{9}}') THEN '+' || d ELSE '' END AS number, floor(s * 1000 + 1e-6) AS name_match_permille,
+  CASE WHEN regexp_full_match(d, '91[6-9]\d{{9}}') THEN CASE WHEN s IS NULL THEN 'unchecked' WHEN s >= 0.7 THEN 'verified' ELSE 'name_differs' END WHEN regexp_full_match(d, '91\d{{10}}') THEN 'not_mobile' ELSE 'invalid_format' END AS status FROM e"""
+)
 def e07_verified(spark, sf):
     """Telephone format, and whether name and quoted name agree to 0.7."""
     from ledgerloom.functions.similarity import ratio
 
     r = _t(spark, sf, "contact_results").select("id", T.phone("contact_number").alias("p"), (ratio(F.lower("name"), F.lower("inhouse_name")) / 100).alias("s"))
     status = F.when(F.col("p.status") != "valid_format", F.col("p.status")).when(F.col("s") >= 0.7, "verified").when(F.col("s").isNull(), "unchecked").otherwise("name_differs")
-    return r.select("id", F.col("p.number").alias("number"), F.round("s", 3).alias("name_match"), status.alias("status"))
+    return r.select("id", F.col("p.number").alias("number"), F.floor(F.col("s") * 1000 + 1e-6).cast("double").alias("name_match_permille"), status.alias("status"))
 
 
 # ---- sinks -------------------------------------------------------------------------------------
