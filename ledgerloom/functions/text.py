@@ -204,6 +204,13 @@ def half_even(x: Column, digits: int = 0) -> Column:
     return F.bround(x, digits)
 
 
+#: What an uploaded file's name says before a year or a word for the kind of list (fixed values: lengths, words, years).
+UPLOAD_HEAD = r"(?i)^([a-z][a-z0-9 &]{2,40}?)\s+(?:20[0-2]\d|iepf|share|annual)"
+UPLOAD_YEAR = r"(20[0-2]\d)"
+#: The year of a link (a fixed value).
+LINK_YEAR = r"((?:19|20)\d{2})"
+
+
 def upload_company(name: Column | str) -> Column:
     """Slug of an uploaded file's company: what stands before a year or a word for the kind of list, else the first word.
 
@@ -211,20 +218,20 @@ def upload_company(name: Column | str) -> Column:
     """
     stem = F.regexp_replace(_c(name), r"\.[^.]+$", "")
     plain = F.regexp_replace(stem, "[_-]", " ")
-    before = F.regexp_extract(plain, r"(?i)^([a-z][a-z0-9 &]{2,40}?)\s+(?:20[0-2]\d|iepf|share|annual)", 1)
+    before = F.regexp_extract(plain, UPLOAD_HEAD, 1)
     first = F.regexp_extract(stem, r"^([^\s_-]*)", 1)
     return F.coalesce(F.nullif(slug(F.when(before != "", before).when(F.length(first) >= 3, first)), F.lit("")), F.lit("unknown"))
 
 
 def upload_year(name: Column | str) -> Column:
     """The first year from 2000 to 2029 in an uploaded file's name, else 'unknown'."""
-    y = F.regexp_extract(F.regexp_replace(_c(name), r"\.[^.]+$", ""), r"(20[0-2]\d)", 1)
+    y = F.regexp_extract(F.regexp_replace(_c(name), r"\.[^.]+$", ""), UPLOAD_YEAR, 1)
     return F.coalesce(F.nullif(y, F.lit("")), F.lit("unknown"))
 
 
 def link_year(url: Column | str) -> Column:
     """The first year from 1900 to 2099 in a link, else 'unknown'."""
-    return F.coalesce(F.nullif(F.regexp_extract(_c(url), r"((?:19|20)\d{2})", 1), F.lit("")), F.lit("unknown"))
+    return F.coalesce(F.nullif(F.regexp_extract(_c(url), LINK_YEAR, 1), F.lit("")), F.lit("unknown"))
 
 
 def download_name(url: Column | str, company: Column | str, year: Column | str) -> Column:

@@ -11,6 +11,7 @@ from ledgerloom.functions.registers import fy_start
 from ledgerloom.operators import dedup, lookup, merge, store
 from ledgerloom.plans.relational import _ACC, _FY
 from ledgerloom.session import table
+from ledgerloom.sources import ingest
 
 Q, SQL = {}, {}
 
@@ -331,3 +332,14 @@ def f27_recency(spark, sf):
     at = F.when(F.col("id") % 3 == 0, F.col("created_at"))
     year = F.when(F.col("id") % 3 < 2, fy_start("pdf_financial_year"))
     return s.select("id", T.recency(at, year, [F.when(F.col("date_processed").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col("date_processed"))]).alias("recency"))
+
+
+@query(
+    r"""
+WITH l AS (SELECT id, regexp_replace(coalesce(demat_account, ''), '[^0-9]', '', 'g') || ' ' || coalesce(full_name, '') AS line FROM shareholders)
+SELECT id, regexp_extract(line, '(\d{14,16})\s+([A-Za-z][A-Za-z\s]+)', 1) AS identity, trim(regexp_extract(line, '(\d{14,16})\s+([A-Za-z][A-Za-z\s]+)', 2)) AS name FROM l"""
+)
+def s16_identity_lines(spark, sf):
+    """Number and name of lines that print both, from every line of the register."""
+    line = F.concat(F.regexp_replace(F.coalesce("demat_account", F.lit("")), "[^0-9]", ""), F.lit(" "), F.coalesce("full_name", F.lit("")))
+    return _t(spark, sf, "shareholders").select("id", ingest.identity_and_name(line).alias("p")).select("id", "p.identity", "p.name")

@@ -106,9 +106,13 @@ def register_lines(pages: DataFrame, page: str, text: str) -> DataFrame:
     )
 
 
+#: A long number before a name (a fixed value: the pattern the design document gives).
+IDENTITY_LINE = r"(\d{14,16})\s+([A-Za-z][A-Za-z\s]+)"
+
+
 def identity_and_name(line: Column) -> Column:
-    """struct(identity, name) of a line that prints a long number before a name."""
-    rx = r"(\d{14,16})\s+([A-Za-z][A-Za-z\s]+)"
+    """struct(identity, name) of a line that prints a long number before a name; both '' where it does not."""
+    rx = IDENTITY_LINE
     return F.struct(F.regexp_extract(line, rx, 1).alias("identity"), F.trim(F.regexp_extract(line, rx, 2)).alias("name"))
 
 
