@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.similarity import ratio, sorted_tokens
+from ledgerloom.functions.similarity import sorted_tokens
 from ledgerloom.operators.dedup import numbered_texts
-from ledgerloom.operators.fuzzy import alike
+from ledgerloom.operators.fuzzy import alike, alike_rows
 from ledgerloom.session import checkpointed
 
 
@@ -21,8 +21,7 @@ def exact_then_fuzzy(rows: DataFrame, contacts: DataFrame, least: float = 85.0)
     is the mean of the token-sort ratios of name and address, or of the name alone where an
     address is missing; ties go to the smallest contact_id. The fuzzy step only sees rows that the
     exact one left, over distinct texts. A mean of least needs a name or an address that reaches
-    it, so the pairs found by an exact similarity join of the names and one of the addresses
-    are all there can be.
+    it, by which an exact similarity join (fuzzy.alike_rows) finds all pairs there can be.
     """
     acc = lambda c: F.nullif(F.upper(F.regexp_replace(F.col(c), r"[^A-Za-z0-9]", "")), F.lit(""))
     c1 = contacts.select(acc("account").alias("k"), "contact_id").where("k is not null").groupBy("k").agg(F.min("contact_id").alias("contact_id"))
@@ -31,20 +30,13 @@ def exact_then_fuzzy(rows: DataFrame, contacts: DataFrame, least: float = 85.0)
     rest = r1.join(hit, "row_id", "left_anti")
     norm = lambda c: sorted_tokens(F.lower(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"[\s,;]+", " ")))
     a = checkpointed(rest.select("row_id", norm("name").alias("n1"), norm("address").alias("a1")).where("n1 <> ''"))
-    texts = a.select("n1", "a1").distinct()
-    b = checkpointed(contacts.select("contact_id", norm("name").alias("n2"), norm("address").alias("a2")).where("n2 <> ''"))
-
-    def found(x: str, y: str) -> DataFrame:
-        """Pairs of texts and contacts of which one attribute reaches least."""
-        l, r = numbered_texts(texts, x), numbered_texts(b, y)
-        p = alike(l, r, least).select("l", "r")
-        p = p.join(l.select(F.col("id").alias("l"), F.col("text").alias(x)), "l").join(r.select(F.col("id").alias("r"), F.col("text").alias(y)), "r").select(x, y)
-        return texts.join(p, x).join(b, y).select("n1", "a1", "n2", "a2", "contact_id")
-
-    p = found("n1", "n2").unionByName(found("a1", "a2")).distinct()
-    both = (F.col("a1") != "") & (F.col("a2") != "")
-    p = p.withColumn("ns", ratio(F.col("n1"), F.col("n2"))).where(F.when(both, F.col("ns") >= 2 * least - 100).otherwise(F.col("ns") >= least))
-    p = p.withColumn("score", F.when(both, (F.col("ns") + ratio(F.col("a1"), F.col("a2"))) / 2).otherwise(F.col("ns"))).where(F.col("score") >= least)
+    b = contacts.select("contact_id", norm("name").alias("n2"), norm("address").alias("a2")).where("n2 <> ''").groupBy("n2", "a2").agg(F.min("contact_id").alias("contact_id"))
+    texts = checkpointed(a.select("n1", "a1").distinct().withColumn("l", F.monotonically_increasing_id()))
+    sides = ((texts, "l", "n1", "a1"), (b, "contact_id", "n2", "a2"))
+    l, r = (df.select(F.col(i).alias("id"), F.col(n).alias("text"), F.col(m).alias("more"), F.lit("").alias("block")) for df, i, n, m in sides)
+    p = alike_rows(l, r, least, "mean")
+    p = p.select("l", F.col("r").alias("contact_id"), F.when(F.col("more_score").isNotNull(), (F.col("score") + F.col("more_score")) / 2).otherwise(F.col("score")).alias("score"))
+    p = p.where(F.col("score") >= least).join(texts, "l")
     best = p.groupBy("n1", "a1").agg(F.max_by(F.struct("contact_id", "score"), F.struct("score", -F.col("contact_id"))).alias("m"))
     fuzzy = a.join(best, ["n1", "a1"]).select("row_id", "m.contact_id", F.lit("name_address_fuzzy").alias("match_type"), F.col("m.score").alias("score"))
     return hit.unionByName(fuzzy)

@@ -218,6 +218,56 @@ def test_alike_finds_every_pair(spark, sets, least, held):
     assert got == {(i, k) for i, t in enumerate(ts) for k, u in ((5, ts[0]), (6, ts[7] + "x")) if score(t, u) >= least}
 
 
+@pytest.mark.parametrize(("rule", "sets", "held"), [("both", False, 65_536), ("both", True, 7), ("mean", False, 65_536), ("mean", False, 7)])
+def test_joined_rows_keep_the_rule(spark, rule, sets, held):
+    """Both texts bound a pair before it is scored, in blocks; against all pairs, with missing and odd texts."""
+    from ledgerloom.functions.similarity import plain, token_set
+    from ledgerloom.operators.fuzzy import alike_rows
+
+    rnd = random.Random(4)
+    ts, us = slipped(rnd, 40), slipped(rnd, 12)
+    rows = [(i, ts[i % len(ts)] if i % 9 else ts[0] + "\u0939\U0001f600", rnd.choice([*us, "", None, " "][: len(us) + 3]), "ab"[i % 2]) for i in range(120)]
+    rows += [(900, None, us[0], "a"), (901, " ", us[0], "a"), (902, ts[0], us[0], None)]
+    score = token_set if sets else plain
+
+    def keeps(t, m, u, w):
+        s = score(t, u)
+        if rule == "both":
+            return bool(m and m.strip() and w and w.strip()) and s >= 85 and score(m, w) >= 85
+        return (s + score(m, w)) / 2 >= 85 if m and w else s >= 85
+
+    ok = [r for r in rows if r[1] and r[1].strip() and r[3]]
+    df = spark.createDataFrame(rows, "id long, text string, more string, block string")
+    got = sorted((r["l"], r["r"]) for r in alike_rows(df, None, 85.0, rule, sets, held).distinct().collect())
+    assert got == sorted((x[0], y[0]) for x in ok for y in ok if x[0] < y[0] and x[3] == y[3] and keeps(*x[1:3], *y[1:3])) and got
+    got = sorted((r["l"], r["r"]) for r in alike_rows(df.where("id % 3 = 0"), df.where("id % 4 = 0"), 85.0, rule, sets, held).distinct().collect())
+    assert got == sorted((x[0], y[0]) for x in ok for y in ok if x[0] % 3 == 0 and y[0] % 4 == 0 and x[3] == y[3] and keeps(*x[1:3], *y[1:3]))
+
+
+def test_pairs_of_many_alike_names_are_bounded_by_their_addresses(spark):
+    """Names of which each is like each other are not scored pair by pair when their addresses rule them out."""
+    from ledgerloom.operators import dedup, fuzzy
+
+    scored = spark.sparkContext.accumulator(0)
+    plain = fuzzy.plain
+
+    def counting(a, b):
+        scored.add(1)
+        return plain(a, b)
+
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40))
+    rows = [(i, f"shantaram kumar {i % 100:02d}", word()) for i in range(400)]
+    rows.append((400, rows[5][1], rows[5][2][:-1] + "0"))
+    fuzzy.plain = counting
+    try:
+        got = [tuple(r)[:2] for r in dedup.similar_pairs(spark.createDataFrame(rows, "id long, name string, address string"), "id", "name", "address").collect()]
+    finally:
+        fuzzy.plain = plain
+    assert got == [(5, 400)]
+    assert scored.value < 4_000  # of 80,200 pairs
+
+
 def test_containing_either_way(spark):
     from ledgerloom.operators.fuzzy import containing
 
