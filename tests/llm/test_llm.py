@@ -260,6 +260,15 @@ def test_same_place(a, b, same):
     assert addresses.same_place(addresses.parse(a), addresses.parse(b)) is same
 
 
+def test_rare_places_without_a_postcode_are_found(spark):
+    """However many like addresses stand in other postcodes, one in a rare postcode of its street and locality is a partner."""
+    rows = [(k, f"{k} Lake Road, Kothrud, Pune 4110{k % 30:02d}") for k in range(100, 400)] + [(900, "12 Lake Road, Kothrud, Pune 500001"), (901, "12 Lake Road, Kothrood, Pune"), (902, "12 Lake Road, Mapusa, Goa")]
+    lines = spark.createDataFrame(rows, "id long, address string")
+    con = spark.createDataFrame([(7, "12 Lake Road, Kothrud, Pune"), (8, "12 Lake Road, Pune 510001")], "id long, address string")
+    got = sorted(map(tuple, addresses.same_addresses(lines, con).collect()))
+    assert got == [(900, 7), (900, 8), (901, 7), (901, 8)]
+
+
 def test_addresses_operator(spark):
     a = "Flat B-43, Rose Heights, 358 Lake Road, Kothrud, Pune 411001"
     rows = [(*line(i, "F", "A")[:6], x, *line(i, "F", "A")[7:]) for i, x in enumerate([a, "flt b-43 rose hts lake rd kothrud pune", None, "", "NA", a, "x" * 20000])]
