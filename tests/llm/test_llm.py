@@ -278,6 +278,16 @@ def test_addresses_operator(spark):
     assert addresses.same_addresses(spark.createDataFrame([], LINE), spark.createDataFrame([], CONTACT)).count() == 0
 
 
+def test_address_pairs_meet_before_the_last_plan(spark):
+    """The shuffles of a plan stay on disk until it ends, so the ways of meeting end in checkpoints and the last plan only fetches texts and rows."""
+    lines = spark.createDataFrame([(1, "12 Lake Road, Kothrud, Pune 411001"), (2, "12 Lake Road, Kothrud")], "id long, address string")
+    con = spark.createDataFrame([(7, "12 Lake Rd, Kothrood")], "id long, address string")
+    found = addresses.same_addresses(lines, con)
+    assert sorted(map(tuple, found.collect())) == [(1, 7), (2, 7)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") <= 6
+
+
 def test_street_left_out_and_two_slips(spark):
     a = ["Flat 5A, Rose Heights, Pune 411001", "12 Venkateshpuram Road, Pune 411001", "14 Lake Road, Pune 411001"]
     rows = [(*line(i, "F", "A")[:6], x, *line(i, "F", "A")[7:]) for i, x in enumerate(a)]
