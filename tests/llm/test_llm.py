@@ -288,6 +288,16 @@ def test_address_pairs_meet_before_the_last_plan(spark):
     assert plan.count("Join") <= 6
 
 
+def test_two_buildings_meet_only_where_a_street_is_missing(spark):
+    """All ways of meeting are one join, in which two known streets must be alike."""
+    rows = [(1, "Flat 5A, Rose Heights, 12 Lake Road, Kothrud, Pune 411001"), (2, "Flat 5A, Rose Heights, Kothrud, Pune 411001"), (3, "Flat 5A, Rose Heights, 12 Temple Road, Kothrud, Pune")]
+    con = [(7, "Flat 5A, Rose Heights, 12 Lake Road, Kothrood, Pune 411001"), (8, "Flat 5A, Roze Hts, Kothrud")]
+    l, r = (addresses.parsed(spark.createDataFrame(x, "id long, address string")) for x in (rows, con))
+    ids, their = ({x["aid"]: x["id"] for x in side.collect()} for side in (l, r))
+    met = addresses.meetings(addresses.distinct_addresses(l, r))
+    assert sorted((ids[x], their[y]) for x, y in met.collect()) == [(1, 7), (1, 8), (2, 7), (2, 8), (3, 8)]
+
+
 def test_street_left_out_and_two_slips(spark):
     a = ["Flat 5A, Rose Heights, Pune 411001", "12 Venkateshpuram Road, Pune 411001", "14 Lake Road, Pune 411001"]
     rows = [(*line(i, "F", "A")[:6], x, *line(i, "F", "A")[7:]) for i, x in enumerate(a)]
