@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import checkpointed
@@ -63,7 +63,8 @@ class Index:
         self.n = n
         doc, tid, tf = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (docs, tids, tfs))
         order = np.argsort(tid, kind="stable")
-        self.doc = doc[order]
+        # In the types that bincount adds up without a copy.
+        self.doc = doc[order].astype(np.intp)
         self.terms, self.from_ = tid, np.r_[0, np.cumsum([len(q) for q in self.queries])].astype(np.int64)
         self.asked = np.zeros(len(ids), bool)
         self.kept: dict[int, np.ndarray] = {}
@@ -73,7 +74,7 @@ class Index:
         length = np.array(lens, np.float32)
         norm = K1 * (1 - B + B * length / max(1.0, length.mean() if n else 1.0))
         self.forward = (idf[tid] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32) if len(tid) else np.zeros(0, np.float32)
-        self.weight = self.forward[order]
+        self.weight = self.forward[order].astype(np.float64)
         self.useful = df > 1 if len(df) else np.zeros(0, bool)
         common = np.flatnonzero(self.useful & (df > COMMON * n)) if len(df) else np.zeros(0, int)
         self.row = np.full(len(ids), -1, np.int32)
@@ -95,7 +96,9 @@ class Index:
         if not len(q):
             return np.zeros(self.n, np.float32)
         row = self.row[q]
-        out = self.dense[row[row >= 0]].sum(axis=0)
+        of = np.zeros(len(self.dense), np.float32)
+        of[row[row >= 0]] = 1
+        out = of @ self.dense
         spans = [slice(self.at[t], self.at[t + 1]) for t in q[row < 0]]
         if spans:
             out = out + np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
@@ -209,6 +212,11 @@ def _rows(kind, number, doc, part, start, size, opened) -> pa.RecordBatch:
     )
 
 
+def sign(text: Column) -> Column:
+    """Neighbours by a cheap sign: the smallest hash of the longer words (texts with much in common share it often)."""
+    return F.array_min(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{6,}"), F.lit(0)), lambda w: F.xxhash64(w)))
+
+
 def packed(documents: DataFrame, containers: DataFrame) -> DataFrame:
     """(container_kind, container_no, doc_id, part_no, part_start, part_tokens): every document of every kind
     of container, whole, but those larger than the capacity, which are cut into full containers and a rest.
@@ -236,9 +244,7 @@ def packed(documents: DataFrame, containers: DataFrame) -> DataFrame:
     if not n:
         return spark.createDataFrame([], SCHEMA).drop("open")
     shards = max(1, math.ceil(n / SHARD))
-    # Neighbours by a cheap sign: the smallest hash of the longer words (texts with much in common share it often).
-    word = F.array_min(F.transform(F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}]+"), lambda w: F.length(w) >= 6), lambda w: F.xxhash64(w)))
-    ordered = docs.withColumn("__sign", word).repartitionByRange(shards, "__lang", "__sign", "doc_id").select("doc_id", "text", "size")
+    ordered = docs.withColumn("__sign", sign(F.col("text"))).repartitionByRange(shards, "__lang", "__sign", "doc_id").select("doc_id", "text", "size")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[int, int] = {}

@@ -398,6 +398,12 @@ def test_second_contact_that_shares_only_the_name(spark):
 # ---- packing (p8) ------------------------------------------------------------------------------
 
 
+def test_sign_word_is_the_least_hash_of_the_longer_words(spark):
+    d = spark.createDataFrame([("Résumé of the dividend-payments, 2020s",), ("short word",), ("",), (None,), ("未付配当金の通知 abc",)], "text string")
+    words = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}]+"), lambda w: F.length(w) >= 6)
+    assert d.where(~packing.sign(F.col("text")).eqNullSafe(F.array_min(F.transform(words, lambda w: F.xxhash64(w))))).count() == 0
+
+
 def test_packing_is_a_valid_assignment(spark):
     rnd = random.Random(2)
     docs = [(i, " ".join(rnd.choice("alpha beta gamma delta".split()) for _ in range(rnd.randint(0, 30))), "en", rnd.choice([0, 5, 40, 70, 100, 130, 260]) if i % 7 else None) for i in range(300)]
