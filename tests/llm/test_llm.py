@@ -10,6 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import registers
 from ledgerloom.llm import addresses, components, crossmatch, holders, leakage, linkage, names, packing, queries, sentences, survivors
 
 SF = "/root/testdata/sf0.001"
@@ -242,6 +243,80 @@ def test_early_slips_in_all_words(spark):
     assert sorted(map(tuple, got)) == [(1, 10)]
 
 
+def test_register_forms_of_accounts(spark):
+    """The forms p2 makes in its one pass over the lines are those of functions/registers.py."""
+    rnd = random.Random(5)
+    bits = ["O", "0", "1", "7", "A", "FOLIO", "NO", "NA", "NIL", " ", "/", "\n", "o", "\u00e9", "\u00df", "\u0663", "\u0130", "(", "x)", "Ltd", " Pvt", "co", "_", "&", "\u00b2", "\u2167", "\u0301"]
+    text = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
+    rows = [(text(), text()) for _ in range(3000)] + [("7" + "O" * 12, " A B ltd"), ("O" * 12 + "7" + "O" * 9, ""), (None, None)]
+    df = spark.createDataFrame(rows, "f string, c string")
+    for f, c, folio, company in df.select("f", "c", registers.folio_key("f"), F.coalesce(registers.company_key("c"), F.lit(""))).collect():
+        assert (holders.folio_form(f), holders.company_form(c)) == (folio, company), (f, c)
+
+
+def test_accounts_of_lines_without_folio(spark):
+    """Accounts as in survivors.account_lines, lines with and without a folio, full, masked and missing demat numbers."""
+    rnd = random.Random(6)
+    demat = lambda: rnd.choice([None, "12", "%s11112%03d", "IN91%s11112%03d", "XX11112%s%03d"])
+    rows = []
+    for i in range(1, 900):
+        d = demat()
+        d = d % (rnd.choice(["0000", "0001"]), rnd.randint(0, 60)) if d and "%" in d else d
+        rows.append(line(i, rnd.choice([None, "-", f"F{rnd.randint(0, 90)}", f"f-0{rnd.randint(0, 90)}"]), rnd.choice(["A Ltd", "a", "B", None]), d))
+    df = spark.createDataFrame(rows, LINE)
+    groups = lambda rows: sorted(tuple(sorted(g)) for g in _by(rows).values())
+    want = groups((tuple(r[:2]), r[2]) for r in survivors.account_lines(df).select("__co", "__acct", "id").collect())
+    cols = ("full_name", "address", "demat_account", "mobile_number", "email_id", "company_name", "folio_no")
+    assert groups(holders.settled(holders.described(df, cols)).select("node", "row").collect()) == want
+
+
+def _by(rows):
+    out = {}
+    for k, x in rows:
+        out.setdefault(k, []).append(x)
+    return out
+
+
+def test_lines_are_read_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(*line(i, f"F{i}" if i % 3 else None, "A", f"IN9100001111{i:04d}")[:4], "Asha Devi Rao", *line(i, "F", "A")[5:]) for i in range(1, 31)]
+    lines = spark.createDataFrame(rows, LINE).mapInArrow(count, LINE)
+    con = [(10, "Asha Devi Rao", None, "IN91000011110001", None, None, "c")]
+    al = spark.createDataFrame([], "alias_name string, given_name string")
+    assert holders.same_holders(lines, spark.createDataFrame(con, CONTACT), al).count() > 0
+    assert seen.value == len(rows)
+
+
+def test_links_do_not_hang_on_the_order_of_nodes(spark):
+    """Of names whose agreement is not the same both ways the link must not depend on which node comes first."""
+    pairs = [("mukthodhani omradran omtosh", "mukthouhani omtosomradran")]
+    assert any((names.compatible(a, b, {}) > 0) != (names.compatible(b, a, {}) > 0) for a, b in pairs)
+    v = name_vectors([x for p in pairs for x in p] + random_names(1, 20))
+    got = []
+    for k, (x, y) in enumerate(((1, 2), (2, 1))):
+        rows = [(2 + (k << 20), x, [pairs[0][0]]), (2 + (k << 20), y, [pairs[0][1]])]
+        got.append(holders.cosine_links(spark.createDataFrame(rows, "k long, node long, names array<string>"), v).count())
+    assert got[0] == got[1]
+
+
+def test_few_are_clustered_as_many(monkeypatch):
+    rnd = random.Random(7)
+    for seed in range(300):
+        ns = random_names(seed, 6)
+        v = name_vectors(ns)
+        case = [v.of(n) for n in ns], [rnd.randint(1, 3) for _ in ns], rnd.choice([0.2, 0.4, 0.5])
+        few = linkage.merged(*case)
+        with monkeypatch.context() as m:
+            m.setattr(linkage, "FEW", 0)
+            assert linkage.merged(*case) == few
+
+
 # ---- addresses (p3) ----------------------------------------------------------------------------
 
 
