@@ -637,3 +637,24 @@ def test_edges_of_clashing_columns(spark):
     df = spark.createDataFrame([("a", "b", 1, 2)], "a string, b string, v int, u int")
     assert components.hash_to_min(df).count() == 2
     assert F.lit(1) is not None
+
+
+def test_p4_looks_up_namesakes_in_slices(spark, monkeypatch):
+    """Namesakes by the square are looked up in slices with the same rows as all at once; and pairs stand packed."""
+    s = "id long, name string, address string, demat string"
+    recs = [(i, "Ramesh Kumar Patil", f"{i} Lake Road, Pune 411001", f"IN300{i:011d}") for i in range(120)]
+    docs = [(1000 + i, "Ramesh Kumar Patil", f"{i} Lake Road, Pune 411001", f"IN300{i:011d}" if i % 2 else None) for i in range(120)]
+    docs += [(5000 + i, f"Q{'abcdefghijklmnopqrstuvwxyz'[i % 26]}x{'abcdefghijklmnopqrstuvwxyz'[i // 26]}", f"{i} Hill Road, Nashik 422001", None) for i in range(600)]
+    terms = lambda rows: holders.checkpointed(crossmatch.termed(spark.createDataFrame(rows, s), {}))
+
+    def matched(slice_):
+        monkeypatch.setattr(crossmatch, "SLICE", slice_)
+        got = crossmatch.compared(terms(recs), terms(docs), {})
+        return sorted(tuple(round(x, 5) for x in r) for r in got.collect())
+
+    monkeypatch.setattr(crossmatch, "SLICE", 20)
+    *_, n, slices = crossmatch.indexed(terms(recs), terms(docs))
+    assert n == 720 and slices > 3
+    once, parts = matched(10**9), matched(20)
+    assert once == parts and len(once) == 120 * 120
+    assert {r[:2] for r in once if r[5]} >= {(i, 1000 + i) for i in range(120)}  # mutual
